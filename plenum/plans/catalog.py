@@ -1,2 +1,6 @@
-QUERIES = {}
-ORACLES = {}
+"""All queries of the deliberation engine and their SQL."""
+
+from . import choice, groups, intake_queries  # noqa: F401  they register their queries
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
