@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from .hashing import MIX1, MIX2, STEP, mix, places, powers, word_bounds
 
 BITS, DIM, MIN_N, MAX_N = 18, 8, 3, 5
-EPOCHS, BATCH, RATE = 8, 32, 0.5
+#: Small samples are gone through more often: at least STEPS batches are taken.
+EPOCHS, STEPS, BATCH, RATE = 8, 600, 32, 0.5
 MAX_ROWS, MAX_CHARS = 6_000, 24_000_000
 THRESHOLD = 0.3
 #: Characters that are worked on at a time.
@@ -112,7 +113,9 @@ def fit(rows: Iterator[tuple[str, int]], bits: int = BITS, dim: int = DIM, epoch
     output, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
     if len(set(labels)) < 2:
         return QualityModel(vectors, output, bias, bits, min(max(float(y.mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6))
-    steps, step = epochs * -(-len(docs) // BATCH), 0
+    a_round = -(-len(docs) // BATCH)
+    epochs, step = max(epochs, -(-STEPS // a_round)), 0
+    steps = epochs * a_round
     for _ in range(epochs):
         order = rng.permutation(len(docs))
         for i in range(0, len(docs), BATCH):

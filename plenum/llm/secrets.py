@@ -51,9 +51,9 @@ WORDS = (
 _SPAN = "array<struct<s:int,k:int,e:int>>"
 
 
-def labelled_sample(spark: SparkSession, rows: int = SAMPLE_ROWS) -> DataFrame:
+def labelled_sample(spark: SparkSession, rows: int = SAMPLE_ROWS, start: int = 0) -> DataFrame:
     """``(sample, random)``: strings from digests (hexadecimal, base64, capitals and digits) and identifiers from words."""
-    ids = spark.range(rows)
+    ids = spark.range(start, start + rows)
     pick = lambda j: F.element_at(F.split(F.lit(" ".join(w for w in WORDS if w.isascii())), " "), (F.pmod(F.xxhash64("id", F.lit(j)), F.lit(sum(w.isascii() for w in WORDS))) + 1).cast("int"))
     digest = F.sha2(F.col("id").cast("string"), 256)
     b64 = F.translate(F.base64(F.unhex(digest)), "=", "")
@@ -113,20 +113,20 @@ def _where_found(text: Column, probe: str, spans: Column) -> Column:
     return F.when(F.rlike(text, F.lit(probe)), spans).otherwise(F.array().cast(_SPAN))
 
 
-def with_spans(docs: DataFrame, ratio: list[float], text_col: str = "text", margin: float = MARGIN) -> DataFrame:
-    """``docs`` with ``base`` and ``added``: arrays of (s, k, e), start, index in KINDS and end, in order."""
-    text = text_or_empty(text_col)
-    base = F.array_sort(
+def with_spans(docs: DataFrame, ratio: list[float], text_col: str = "text", margin: float = MARGIN, names: tuple[str, str] = ("base", "added")) -> DataFrame:
+    """``docs`` with two arrays of (s, k, e), start, index in KINDS and end, in order: the base spans and those added."""
+    text, (base, added) = text_or_empty(text_col), names
+    found = F.array_sort(
         F.concat(
             _where_found(text, ASSIGN, _matches(text, ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6)),
             _where_found(text, ACCESS, _matches(text, ACCESS, 1, lambda m: F.length(m) >= 20)),
-            # Runs of 24 or more are looked for first: every text has short ones.
+            # Only runs of 24 or more are looked for: every text has short ones, and they are dropped anyway.
             _where_found(text, r"[0-9a-f]{24}", _matches(text, r"[0-9a-f]{24,}", 2, lambda m: F.lit(True))),
         )
     )
     runs = _where_found(text, RUN, _matches(text, RUN, 3, lambda m: likelihood_ratio(m, ratio) >= margin))
-    added = F.filter(F.col("runs"), lambda x: ~F.exists(F.col("base"), lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
-    return docs.withColumn("base", base).withColumn("runs", runs).withColumn("added", added).drop("runs")
+    apart = F.filter(F.col(added), lambda x: ~F.exists(F.col(base), lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
+    return docs.withColumn(base, found).withColumn(added, runs).withColumn(added, apart)
 
 
 def joined(spans: Column) -> Column:
@@ -143,16 +143,17 @@ def scan_secrets(docs: DataFrame, sample: DataFrame | None = None, id_col: str =
 
 def redact(docs: DataFrame, sample: DataFrame | None = None, text_col: str = "text", mask: str = "[SECRET]", margin: float = MARGIN) -> DataFrame:
     """``docs`` with each secret (spans that overlap count as one) replaced by ``mask``; texts without any stay as they are."""
-    columns = docs.columns
+    columns, names = docs.columns, ("base", "added")
+    while set(names) & set(columns):  # the table's own columns stay
+        names = tuple(f"{n}_" for n in names)
     ratio = train(labelled_sample(docs.sparkSession) if sample is None else sample)
-    found = with_spans(docs.withColumnRenamed(text_col, "text") if text_col != "text" else docs, ratio, "text", margin)
-    text = F.col("text")
+    found = with_spans(docs, ratio, text_col, margin, names)
+    text, (base, added) = F.col(text_col), names
 
     def step(a: Column, x: Column) -> Column:
         piece = F.concat(F.substring(text, a["at"] + 1, x["s"] - a["at"]), F.lit(mask))
         return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(x["s"] >= a["at"], F.concat(a["out"], piece)).otherwise(a["out"]).alias("out"))
 
-    spans = F.array_sort(F.concat("base", "added"))
+    spans = F.array_sort(F.concat(base, added))
     clean = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text) - a["at"])))
-    found = found.withColumn("text", F.when(F.size(F.concat("base", "added")) > 0, clean).otherwise(text)).drop("base", "added")
-    return (found.withColumnRenamed("text", text_col) if text_col != "text" else found).select(*columns)
+    return found.withColumn(text_col, F.when(F.size(F.concat(base, added)) > 0, clean).otherwise(text)).select(*columns)
