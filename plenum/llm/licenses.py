@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, text_or_empty
 
-MAX_BROADCAST = 50_000
+MAX_BROADCAST, MAX_ANCHORS = 50_000, 64
 
 # Spellings that licence matching guidelines treat as the same word.
 SPELLINGS = (
@@ -63,12 +63,30 @@ REGISTRY = (
 
 def canonical(c: Column) -> Column:
     """Canonical form of a text: words of a-z and 0-9 with single spaces; copyright lines are gone."""
-    c = F.regexp_replace(ascii_lower(c), r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*", "\n")
+    c = ascii_lower(c)
+    marked = F.contains(c, F.lit("copyright")) | F.contains(c, F.lit("(c)")) | F.contains(c, F.lit("©"))
+    c = F.when(marked, F.regexp_replace(c, r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*", "\n")).otherwise(c)
     c = F.concat(F.lit(" "), F.trim(F.regexp_replace(c, r"[^a-z0-9]+", " ")), F.lit(" "))
     for a, b in SPELLINGS:
         if a != b:
             c = F.replace(c, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(F.regexp_replace(c, " +", " "))
+    return F.trim(c)
+
+
+def anchors(forms: list[str]) -> str | None:
+    """A pattern that any text with one of these canonical forms matches, in lower case: a long word of each form, in all
+    its spellings.  None if that is too many words to look for, or a form has no word that only single words become."""
+    single = [(a, b) for a, b in SPELLINGS if a != b and " " not in a + b]
+    # Words that a phrase becomes, or is made of, may be absent from the text itself.
+    phrases = {w for a, b in SPELLINGS if a != b and " " in a + b for w in (*a.split(), *b.split())}
+    spelt = {b: {b, *(x for x, y in single if y == b)} for _, b in single}
+    words: set[str] = set()
+    for form in forms:
+        own = [w for w in form.split() if w not in phrases]
+        if not own:
+            return None
+        words |= spelt.get(max(own, key=len), {max(own, key=len)})
+    return "|".join(sorted(words)) if 0 < len(words) <= MAX_ANCHORS else None
 
 
 def digest(c: Column) -> Column:
@@ -83,16 +101,19 @@ def registry(spark: SparkSession) -> DataFrame:
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, ``text_digest``, ``text_license`` (of the entire text) and ``notice_licenses`` (of its lines)."""
+    forms = [r[0] for r in known.where("license_id IS NOT NULL").select(canonical(F.col("text"))).distinct().limit(MAX_ANCHORS + 1).collect() if r[0]]
+    pattern = anchors(forms) if len(forms) <= MAX_ANCHORS else None
     known = known.select("license_id", digest(F.col("text")).alias("k")).where("k IS NOT NULL AND license_id IS NOT NULL").distinct()
     known = known.groupBy("k").agg(F.min("license_id").alias("license_id"))
     if known.count() <= MAX_BROADCAST:
         known = F.broadcast(known)
     text = text_or_empty(text_col)
-    # A whole text and its lines share one pass: line 0 is the text, so that nothing is read or canonicalised twice.
     keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("t"))
     whole = keyed.select("doc_id", digest(F.col("t")).alias("text_digest"))
     whole = whole.join(known.select(F.col("k").alias("text_digest"), F.col("license_id").alias("text_license")), "text_digest", "left")
-    lines = keyed.select("doc_id", F.explode(F.split("t", "\n")).alias("line")).where("line <> ''")
+    # Texts, then lines, without a word of any known text need no canonical form.
+    may = lambda c: F.rlike(ascii_lower(c), F.lit(pattern)) if pattern else F.lit(True)
+    lines = keyed.where(may(F.col("t"))).select("doc_id", F.explode(F.split("t", "\n")).alias("line")).where(may(F.col("line")) & (F.col("line") != ""))
     hits = lines.select("doc_id", digest(F.col("line")).alias("k")).join(known, "k").select("doc_id", "license_id").distinct()
     found = hits.groupBy("doc_id").agg(F.array_sort(F.collect_set("license_id")).alias("notice_licenses"))
     found = found.withColumnRenamed("doc_id", "found_in")
