@@ -32,7 +32,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the links ``(a, b)``; the component is its least node."""
-    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
+    edges = written(links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u IS NOT NULL AND v IS NOT NULL"))
     nodes = written(edges.select(F.col("u").alias("node")).unionAll(edges.select("v")).distinct())
     edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = _state(edges)

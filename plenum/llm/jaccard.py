@@ -37,13 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 from .graph import components
 from .hashing import shingle_sets
 
 PERCENT, WORDS = 75, 5
 #: Shingles of a portion that a map task packs at a time; of a group that one task joins.
-PORTION, GROUP_SHINGLES = 1_000_000, 1_500_000
+PORTION, GROUP_SHINGLES = 600_000, 1_500_000
 #: Documents a bucket, for the number of buckets.
 DOCS_A_BUCKET = 1_000
 
@@ -261,11 +261,9 @@ def trie_links(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT)
     ids, ordered = np.asarray(ids)[order], [ordered[i] for i in order]
     trie = Trie(ordered)
     part = np.arange(len(ids))
-    before = np.zeros(len(grams) + 1, np.int64)
+    member = np.zeros(len(grams), bool)
     for x, own in enumerate(ordered):
-        member = np.zeros(len(grams), bool)
         member[own] = True
-        np.cumsum(member, out=before[1:])
         size = len(own)
         stack = [(0, 0)]
         while stack:
@@ -282,7 +280,7 @@ def trie_links(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT)
             left = size
             if len(path):
                 common += int(np.count_nonzero(member[path]))
-                left -= int(before[path[-1] + 1])
+                left -= int(np.searchsorted(own, path[-1], "right"))
             # |A and B| >= percent / (100 + percent) * (|A| + |B|), for the best document below.
             if (100 + percent) * (common + max(0, min(left, most - at - len(path)))) < percent * (size + least):
                 continue
@@ -290,6 +288,7 @@ def trie_links(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT)
                 stack.extend((k, common) for k in trie.kids[node])
             elif 100 * common >= percent * (size + most - common):
                 part[part == part[lo]] = part[x]
+        member[own] = False
     least = {}
     for k, p in zip(ids.tolist(), part.tolist()):
         least[p] = min(k, least.get(p, k))
@@ -307,6 +306,7 @@ def _join_group(percent: int):
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     known = docs.where("doc_id IS NOT NULL")
     every = written(shared_enough(known, _sets_of_text, percent))
