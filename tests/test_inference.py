@@ -206,3 +206,64 @@ def test_translation(spark):
     assert got == {1: ("hello", "hallo"), 2: ("hello", "hallo"), 3: (None, None), 4: (" ", " ")}
     same = Inference(spark, Canned({}, otherwise=lambda p: json.dumps({"is_target_language": True, "translation": ""})), partitions=1)
     assert {r["t"] for r in pipelines.translated(rows.limit(1), "t", same).collect()} == {"hallo"}
+
+
+def test_refinement_end_to_end_and_resumed(spark):
+    from plenum.operators import refinement
+
+    asked = []
+
+    def model(prompt):
+        asked.append(prompt)
+        if prompt.startswith("Which of these statements"):
+            return '{"equivalence_sets": [["0:0", "1:0"], ["9:9", "0:1"]]}'
+        return replies(prompt)
+
+    opinions = spark.createDataFrame([("A", "o1", 3, ["p1", "p2"]), ("A", "o2", 2, ["p3"]), ("B", "o3", 1, ["q1", "q2"])], "topic string, opinion string, r1_length bigint, propositions array<string>")
+    people = spark.createDataFrame([(1, "r1"), (2, "r2")], "participant_id int, record string")
+    run = lifecycle.Run(spark, work_dir(spark))
+    infer = Inference(spark, Canned(otherwise=model), partitions=1)
+    real = spark.createDataFrame([("A", ["o1", "o2"])], "topic string, ranking array<string>")
+    top = refinement.refine(run, infer, opinions, people, real, k=2)
+    assert {(r["proposition"], r["method"]) for r in top.collect()} == {("first", "pav"), ("second", "pav")}
+    stages = {r["stage"] for r in run.manifest().collect()}
+    assert stages == {"r2_opinion_ranking", "approvals", "opinion_rankings", "topic_rankings", "equivalence", "selected", "nuanced", "nuanced_approvals", "nuanced_ballots", "top_nuanced"}
+    again = refinement.refine(lifecycle.Run(spark, run.root), Inference(spark, Canned(), attempts=1), opinions, people, real, k=2)
+    assert again.count() == top.count()
+    chosen = run.read("selected").where("selected").groupBy("topic").count().collect()
+    assert {r["topic"]: r["count"] for r in chosen} == {"A": 2, "B": 1}
+    judge = refinement.model_judge(lambda p: "I keep 1:0")
+    group = [{"proposition_id": "0:0", "topic": "A", "proposition": "x", "rank": 1}, {"proposition_id": "1:0", "topic": "B", "proposition": "y", "rank": 2}]
+    assert judge(group) == "1:0" and refinement.model_judge(lambda p: "none")(group) == "0:0"
+
+
+def test_refinement_tables(spark, infer):
+    from plenum.operators import prompts, refinement
+
+    r1 = spark.createDataFrame([(1, "A", "o", "q1", 0), (2, "A", "o", "q2", 1)], "participant_id int, topic string, opinion string, quote string, ord int")
+    r2 = spark.createDataFrame([(1, "o", "why?", "so", 1)], "participant_id int, opinion string, question string, answer string, n int")
+    row = refinement.by_opinion(r1, r2).first()
+    assert (row["r1_length"], row["r2_length"], len(row["r1"]), row["r2"][0]["answer"]) == (2, 1, 2, "so")
+    opinions = spark.createDataFrame([("A", "o", 2, ["p"])], "topic string, opinion string, r1_length bigint, propositions array<string>")
+    rates = spark.createDataFrame([("p", 0.5)], "proposition string, approval_rate double")
+    topic = refinement.enriched_topics(opinions, rates).first()
+    assert topic["r1_quotes_by_topic"] == 2 and topic["propositions"][0]["approval_rate"] == 0.5
+    votes = spark.createDataFrame([(1, "p", True)], "participant_id int, proposition string, approved boolean")
+    assert refinement.with_rates(spark.createDataFrame([("p", 9.0)], "statement string, agree_rate double"), votes).first()["agree_rate"] == 1.0
+    assert refinement.skipped_rows(r1, r1.where("participant_id = 2")).count() == 1 and refinement.with_scores(r1, r1.select("ord", "quote"), "ord").count() == 2
+    assert prompts.first_round(r1).first()["text"].startswith('<participant id="1">q1</participant>')
+    gallery = spark.createDataFrame([(1, 1, "q", "a")], "participant_id int, n int, question string, answer string")
+    ranked = spark.createDataFrame([(1, 1, 0, "s1", 2.0), (1, 1, 1, "s2", 1.0), (1, 1, 2, "s3", None)], "participant_id int, set_no int, place int, statement string, rank double")
+    assert prompts.second_round(gallery, ranked).first()["text"] == "<question>q</question><response>a</response>\n<ranking>1. s2\n2. s1\n3. s3</ranking>"
+    texts = spark.createDataFrame([(0, "x", "g"), (1, "y", "g"), (2, "x", "g")], "ord int, t string, g string")
+    assert prompts.with_dictionary(texts, "t", "g").first().asDict() == {"g": "g", "dictionary": "A: x", "text": "A\ny\nA"}
+    props = spark.createDataFrame([("0:0", "A", "x", 1), ("1:0", "B", "y", 2)], "proposition_id string, topic string, proposition string, rank int")
+    sets = spark.createDataFrame([("s", ["0:0", "1:0"])], "set_id string, members array<string>")
+    named = Inference(spark, Canned(otherwise=lambda p: "B"), partitions=1)
+    assert refinement.judged_topics(named, sets, props).first()["winner"] == "B" and refinement.judged_topics(infer, sets, props).first()["winner"] == "A"
+    quotes = spark.createDataFrame([("Taxes", 0, "q")], "topic string, ord bigint, text string")
+    assert {r["run"] for r in refinement.learned_runs(infer, quotes, 2).collect()} == {0, 1}
+    wide = spark.createDataFrame([(1, "good q", "T", "a")], "participant_id bigint, question_1 string, question_1_topic string, answer_1 string")
+    agrees, scored = refinement.evaluated_rounds(infer, wide, spark.createDataFrame([("good", "good", "p")], "topic string, opinion string, proposition string"))
+    assert agrees.first()["answer_1_agrees"] is True and (scored.first()["topic_score"], scored.first()["opinion_score"]) == (4.0, 4.0)
+    assert "brackets" in prompts.quote_criteria()
