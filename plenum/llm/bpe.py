@@ -4,15 +4,17 @@ A rank file (tiktoken form: base64 of a token's bytes, rank) becomes a BPE model
 characters of the byte-level alphabet, and every way to split a token in two tokens is a merge with the token's rank, so
 that pieces merge by rank as the rank file says, whatever pair they come from.  A piece that is a token is taken whole.
 
-Texts go to the library in slices of at most ``SLICE_CHARS`` characters (a longer text alone), so a batch's encodings are
-never held together.  A worker builds the model once.  Offsets are character offsets: a token that holds a part of a
+With offsets, texts go to the library in slices of at most ``SLICE_CHARS`` characters (a longer text alone), so a batch's
+encodings are never held together.  Without, a text is split by the pattern first and the library's model merges each
+distinct piece once; a worker keeps up to ``PIECES`` pieces' ids.  A worker builds the model once.  Offsets are character offsets: a token that holds a part of a
 character spans that character, so neighbouring tokens may share one.
 
 Decoding reverses the byte table: ids become bytes, whatever characters they split; the bytes are the result, and text is
 their UTF-8 reading once all tokens are joined.
 
 Defined cases: a null text is empty; an empty text has no ids; a null list of ids decodes to no bytes; an id outside the
-vocabulary raises; repeated rows each get their result; other columns are kept as they are; an empty table gives an
+vocabulary raises; repeated rows each get their result; other columns are kept as they are, but for
+those named ids, starts, ends or decoded, which are replaced; an empty table gives an
 empty result; texts of any length are encoded whole.
 """
 
@@ -22,13 +24,18 @@ import base64
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-SLICE_CHARS = 400_000
+from .common import small_batches
+
+SLICE_CHARS, PIECES = 400_000, 100_000
+#: Characters outside the blocks whose letters and numbers all versions of Unicode agree on: such texts are left to the library.
+LATE = "[^\u0000-\u052f\u2000-\u206f\u20a0-\u20bf\u3000-\u30ff\u4e00-\u9fbf\uac00-\ud7a3]"
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -60,6 +67,37 @@ def tokenizer(path: str, pattern: str):
     return built
 
 
+class PieceIds(dict):
+    """Ids of a piece of the pattern, by the model of the tokenizers library; emptied when it is full."""
+
+    def __init__(self, path: str, pattern: str):
+        super().__init__()
+        import regex
+
+        self.model, self.pieces = tokenizer(path, pattern).model, regex.compile(pattern).findall
+        self.whole, self.late = tokenizer(path, pattern), regex.compile(LATE).search
+        self.shown = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
+
+    def __missing__(self, piece: str) -> list[int]:
+        if len(self) >= PIECES:
+            self.clear()
+        ids = [t.id for t in self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.shown))]
+        # Long pieces are rare and large: they are made anew each time.
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
+
+    def of(self, text: str) -> list[int]:
+        if self.late(text):
+            return self.whole.encode(text, add_special_tokens=False).ids
+        return list(chain.from_iterable(map(self.__getitem__, self.pieces(text))))
+
+
+@lru_cache(1)
+def piece_ids(path: str, pattern: str) -> PieceIds:
+    return PieceIds(path, pattern)
+
+
 def slices(texts: list[str]) -> Iterator[list[str]]:
     part, size = [], 0
     for t in texts:
@@ -77,11 +115,10 @@ def _encoder(path: str, pattern: str, column: int, offsets: bool, keep_text: boo
         for batch in batches:
             done = 0
             for part in slices([t or "" for t in batch.column(column).to_pylist()]):
-                own = tokenizer(path, pattern)
-                encoded = own.encode_batch(part, add_special_tokens=False) if offsets else own.encode_batch_fast(part, add_special_tokens=False)
-                ids = [e.ids for e in encoded]
+                encoded = tokenizer(path, pattern).encode_batch(part, add_special_tokens=False) if offsets else []
+                ids = [e.ids for e in encoded] if offsets else [*map(piece_ids(path, pattern).of, part)]
                 ends = pa.array(np.cumsum([0, *map(len, ids)], dtype=np.int32))
-                flat = np.fromiter((x for row in ids for x in row), np.int32)
+                flat = np.fromiter(chain.from_iterable(ids), np.int32)
                 more = [pa.ListArray.from_arrays(ends, pa.array(flat))]
                 if offsets:
                     at = np.array([x for e in encoded for x in e.offsets], np.int32).reshape(-1, 2)
@@ -96,6 +133,7 @@ def _encoder(path: str, pattern: str, column: int, offsets: bool, keep_text: boo
 
 def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", offsets: bool = True, keep_text: bool = True) -> DataFrame:
     """``df`` with ``ids`` and, if ``offsets``, ``starts`` and ``ends``, the character span of each token."""
+    small_batches(df.sparkSession)
     new = ["ids", "starts", "ends"] if offsets else ["ids"]
     kept = df.drop(*new)
     schema = T.StructType([*(kept if keep_text else kept.drop(text_col)).schema.fields, *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in new)])
@@ -108,13 +146,14 @@ def _decoder(path: str, column: int):
         table = np.full(max(ranks.values()) + 1, None, object)
         for token, rank in ranks.items():
             table[rank] = token
+        known = np.array([t is not None for t in table])
         for batch in batches:
             out = []
-            for ids in batch.column(column):
-                tokens = table[ids.values.to_numpy(zero_copy_only=False).astype(np.int64)] if ids.is_valid and len(ids) else ()
-                if any(t is None for t in tokens):
+            for row in batch.column(column):
+                ids = row.values.to_numpy(zero_copy_only=False) if row.is_valid and len(row) else np.empty(0, np.int64)
+                if len(ids) and not (known[ids.clip(0, len(table) - 1).astype(np.int64)] & (ids >= 0) & (ids < len(table))).all():
                     raise ValueError("an id is not in the vocabulary")
-                out.append(b"".join(tokens))
+                out.append(b"".join(table[ids.astype(np.int64)]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     return run
