@@ -29,7 +29,7 @@ def numbered_rows(df: DataFrame, name: str, order: str = "ord", chunk: int = 1_0
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_chunk").orderBy(order))
-    return chunked.withColumn("_n", within).join(F.broadcast(starts), "_chunk").withColumn(name, F.col("_n") + F.col("_before")).drop("_chunk", "_n", "_before")
+    return chunked.withColumn("_n", within).join(starts, "_chunk").withColumn(name, F.col("_n") + F.col("_before")).drop("_chunk", "_n", "_before")
 
 
 def distinct_in_order(df: DataFrame, key: str, order: str = "ord") -> DataFrame:

@@ -18,7 +18,7 @@ def with_ids(propositions: DataFrame) -> DataFrame:
     """
     topics = propositions.groupBy("topic").agg(F.max("r1_quotes").alias("r1_quotes"))
     numbered = topics.withColumn("topic_id", F.row_number().over(Window.orderBy(F.desc("r1_quotes"), "topic")) - 1).drop("r1_quotes")
-    with_topic = propositions.join(F.broadcast(numbered), "topic")
+    with_topic = propositions.join(numbered, "topic")
     return with_topic.withColumn("proposition_id", F.concat_ws(":", F.col("topic_id").cast("string"), F.col("idx").cast("string")))
 
 
