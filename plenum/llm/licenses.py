@@ -29,7 +29,6 @@ SPELLINGS = (
     ("noncommercial", "non commercial"),
     ("copyright holder", "copyright owner"),
     ("copyright holders", "copyright owners"),
-    ("merchantability", "merchantability"),
     ("organisation", "organization"),
     ("favour", "favor"),
     ("per cent", "percent"),
@@ -68,17 +67,16 @@ def canonical(c: Column) -> Column:
     c = F.when(marked, F.regexp_replace(c, r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*", "\n")).otherwise(c)
     c = F.concat(F.lit(" "), F.trim(F.regexp_replace(c, r"[^a-z0-9]+", " ")), F.lit(" "))
     for a, b in SPELLINGS:
-        if a != b:
-            c = F.replace(c, F.lit(f" {a} "), F.lit(f" {b} "))
+        c = F.replace(c, F.lit(f" {a} "), F.lit(f" {b} "))
     return F.trim(c)
 
 
 def anchors(forms: list[str]) -> str | None:
     """A pattern that any text with one of these canonical forms matches, in lower case: a long word of each form, in all
     its spellings.  None if that is too many words to look for, or a form has no word that only single words become."""
-    single = [(a, b) for a, b in SPELLINGS if a != b and " " not in a + b]
+    single = [(a, b) for a, b in SPELLINGS if " " not in a + b]
     # Words that a phrase becomes, or is made of, may be absent from the text itself.
-    phrases = {w for a, b in SPELLINGS if a != b and " " in a + b for w in (*a.split(), *b.split())}
+    phrases = {w for a, b in SPELLINGS if " " in a + b for w in (*a.split(), *b.split())}
     spelt = {b: {b, *(x for x, y in single if y == b)} for _, b in single}
     words: set[str] = set()
     for form in forms:
