@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: ASCII letters, for case folding that DuckDB and Python repeat exactly.
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+from ..session import materialised as written
+from ..session import table
+from ..session import work_dir as shared_dir
 
+__all__ = ["LOWER", "UPPER", "ascii_lower", "shared_dir", "shuffle_width", "small_batches", "table", "text_or_empty", "written"]
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: ASCII letters, for case folding that DuckDB and Python repeat exactly.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ascii_lower(c: Column) -> Column:
@@ -24,28 +23,6 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share.
-
-    Only where the setting is absent (a local session, as in tests) a temporary folder takes its place.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-        root = tempfile.mkdtemp(prefix="plenum-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root}/plenum-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, path: str | None = None) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, cut from its lineage, safe from lost executors."""
-    spark = df.sparkSession
-    path = path or shared_dir(spark)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
     """Fewer rows an Arrow batch from now on: ten thousand texts, held by the JVM and by Python, are too many."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
