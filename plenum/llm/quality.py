@@ -27,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .hashing import MIX1, MIX2, STEP, mix, places, powers, word_bounds
 
 BITS, DIM, MIN_N, MAX_N = 18, 8, 3, 5
 #: Small samples are gone through more often: at least STEPS batches are taken.
-EPOCHS, STEPS, BATCH, RATE = 8, 600, 32, 0.5
-MAX_ROWS, MAX_CHARS = 6_000, 24_000_000
+EPOCHS, STEPS, BATCH, RATE = 8, 1_200, 32, 0.5
+MAX_ROWS, MAX_CHARS = 3_000, 10_000_000
 THRESHOLD = 0.3
 #: Characters that are worked on at a time.
 SLICE_CHARS = 300_000
@@ -192,12 +193,14 @@ def _scorer(shared, bits: int):
 def score(docs: DataFrame, model: QualityModel) -> DataFrame:
     """``doc_id`` and ``score``, the probability of label 1, per row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model.folded())
     return docs.select("doc_id", "text").mapInArrow(_scorer(shared, model.bits), "doc_id bigint, score double")
 
 
 def rejected_removed(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` with a score of ``threshold`` or more, all columns as they were."""
+    small_batches(docs.sparkSession)
     shared, columns = docs.sparkSession.sparkContext.broadcast(model.folded()), docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

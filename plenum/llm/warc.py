@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, shuffle_width, written
+from .common import shared_dir, shuffle_width, small_batches, written
 
 BREAK = "\r\n\r\n"
 LEAST_BYTES, RUN, RANGE = 1000, 50_000, 100_000
@@ -209,6 +209,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The archives' captures in sorted runs: run, seq and the columns of ENTRY."""
+    small_batches(spark)
     return spark.read.option("lineSep", BREAK).text(path).select("value").mapInArrow(_runs, f"run bigint, seq bigint, {ENTRY}")
 
 
