@@ -11,13 +11,18 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.  Docum
    document for the exact steps and never drops one.
 2. *Copies.*  Equal sets form a class; only the least document of a class goes on.  Step 1 runs again over these, where
    what only copies shared is no longer shared.
-3. *Groups.*  In an order of all shingles (by hash, the same for all documents), linked documents share a shingle of
-   their prefixes, the first ``n - ceil(percent * n / 100) + 1``.  Documents with a shingle in their prefixes go to the
-   group of the least such document, once for each such group, whatever the number of shingles.
+3. *Groups.*  In an order of all shingles that is the same for all documents, linked documents share a shingle of their
+   prefixes, the first ``n - ceil(percent * n / 100) + 1``.  The order is by hash, but shingles found in over ``FREQUENT``
+   prefixes come last, by their number, so that passages that many documents share don't bring these together; at most
+   ``LISTED`` of them are broadcast, and any order gives the same result.  Documents with a shingle in their prefixes go
+   to the group of the least such document, once for each such group, whatever the number of shingles.
 4. *Trie join.*  A group's sets, in one order (common shingles first), are stored in a compressed trie.  Each document
    walks the trie, so that the overlap with a shared path is counted once; a subtree is left when the overlap so far plus
    what can remain on either side is below what its sizes need, or when all of it is already connected with the document.
-   Groups of more than ``GROUP_SHINGLES`` shingles are split in blocks, and each pair of blocks is joined in a task.
+   Groups of more than ``GROUP_SHINGLES`` shingles are split in blocks by a hash of the document.  First each block is
+   joined by itself, then one document of each connected part of each block; that settles a group of near copies at a
+   cost in proportion to its size.  Only where a group still has several parts are its blocks joined pair by pair, and
+   only documents of different parts are compared.
 5. *Components* of the links (a spanning forest of each group's links) by star contraction, see ``graph``.
 
 Sets are compared by 64-bit hashes; two different shingles are taken for one with a chance of about 2**-64 a pair.
@@ -44,6 +49,8 @@ from .hashing import shingle_sets
 PERCENT, WORDS = 75, 5
 #: Shingles of a portion that a map task packs at a time; of a group that one task joins.
 PORTION, GROUP_SHINGLES = 600_000, 1_500_000
+#: Prefixes that make a shingle frequent; how many such shingles are broadcast; how often they are looked for.
+FREQUENT, LISTED, ROUNDS = 64, 65_536, 3
 #: Documents a bucket, for the number of buckets.
 DOCS_A_BUCKET = 1_000
 
@@ -192,11 +199,19 @@ def _kept_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 
 
-def _prefixes(percent: int):
+def _prefixes(percent: int, frequent=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, number = frequent.value if frequent else (np.empty(0, np.uint64), None)
+
+        def first_of(s: np.ndarray) -> np.ndarray:
+            size = len(s) - -(-percent * len(s) // 100) + 1
+            if not len(known):
+                return s[:size]
+            at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+            return s[np.lexsort((s, np.where(known[at] == s, number[at], 0)))[:size]]
+
         for batch in batches:
-            sets = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
-            first = [s[: len(s) - -(-percent * len(s) // 100) + 1] for s in sets]
+            first = [first_of(np.frombuffer(x, np.uint64)) for x in batch.column("shingles").to_pylist()]
             ids = np.repeat(np.array(batch.column("doc_id").to_pylist(), np.int64), [len(x) for x in first])
             grams = np.concatenate([*first, np.empty(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(grams)], names=["doc_id", "gram"])
@@ -250,8 +265,11 @@ class Trie:
         return int(differ[0]) if len(differ) else m
 
 
-def trie_links(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the documents: (document, least document of its part)."""
+def trie_links(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT, parts: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links among the documents: (document, least document of its part).
+
+    ``parts``: labels of documents that are known to be connected.
+    """
     grams, code, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rank = np.empty(len(grams), np.int64)
     rank[np.lexsort((grams, -n))] = np.arange(len(grams))
@@ -260,7 +278,7 @@ def trie_links(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT)
     order = sorted(range(len(sets)), key=lambda i: ordered[i].astype(">u4").tobytes())
     ids, ordered = np.asarray(ids)[order], [ordered[i] for i in order]
     trie = Trie(ordered)
-    part = np.arange(len(ids))
+    part = np.arange(len(ids)) if parts is None else np.unique(parts, return_inverse=True)[1][order]
     member = np.zeros(len(grams), bool)
     for x, own in enumerate(ordered):
         member[own] = True
@@ -298,12 +316,48 @@ def trie_links(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT)
 def _join_group(percent: int):
     def run(table: pa.Table) -> pa.Table:
         ids, sets = table.column("doc_id").to_numpy(), [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-        links = trie_links(ids, sets, percent) if len(ids) > 1 else []
+        links = trie_links(ids, sets, percent, table.column("part").to_numpy()) if len(ids) > 1 else []
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
 
 
+def _ordered_prefixes(kept: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, gram) of all prefixes, after frequent shingles were moved to the end of the order."""
+    schema, known = "doc_id bigint, gram bigint", {}
+    grams = kept.mapInArrow(_prefixes(percent), schema)
+    for _ in range(ROUNDS):
+        found = grams.groupBy("gram").agg(F.count("*").alias("c")).where(F.col("c") > FREQUENT).orderBy(F.desc("c"), "gram").limit(LISTED).collect()
+        new = {r["gram"]: r["c"] for r in found if r["gram"] not in known}
+        if not new or len(known) >= LISTED:
+            break
+        known |= dict(list(new.items())[: LISTED - len(known)])
+        keys = np.array(list(known), np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        shared = kept.sparkSession.sparkContext.broadcast((keys[order], np.array(list(known.values()), np.int64)[order]))
+        grams = kept.mapInArrow(_prefixes(percent, shared), schema)
+    return grams
+
+
+def _across_blocks(links: DataFrame, split: DataFrame, sized: DataFrame, joined: Callable) -> DataFrame:
+    """Links between the blocks of split groups, besides those within blocks."""
+
+    def parted(known: DataFrame) -> DataFrame:
+        part = components(known).select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
+        return written(split.join(part, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id")))
+
+    now = parted(links)
+    for_each = now.groupBy("hub", "own", "part").agg(F.min("doc_id").alias("doc_id"))
+    # Where even those are too many for a task, the group is as mixed as can be and goes on to the pairs of blocks.
+    size = for_each.join(sized.select("doc_id", "n"), "doc_id").groupBy("hub").agg(F.sum("n").alias("n"), F.count("*").alias("c"))
+    few = for_each.join(size.where((F.col("n") <= GROUP_SHINGLES) & (F.col("c") > 1)).select("hub"), "hub", "left_semi")
+    links = written(links.unionAll(joined(few.select("hub", F.lit(-1).alias("i"), F.lit(-1).alias("j"), "doc_id", "part"))))
+    now = parted(links)
+    mixed = now.groupBy("hub").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("hub")
+    spread = now.join(mixed, "hub", "left_semi").select("hub", "doc_id", "part", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).where("own <> other")
+    return links.unionAll(joined(spread.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "part")))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     small_batches(docs.sparkSession)
@@ -314,15 +368,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = written(known.join(classes, "doc_id").select("doc_id", "text", "d1", "d2").mapInArrow(_kept_sets, "doc_id bigint, shingles binary"))
     again = shared_enough(sets, _sets_of_bytes, percent).where("maybe").select("doc_id")
     kept = written(sets.join(again, "doc_id", "left_semi"))
-    grams = kept.mapInArrow(_prefixes(percent), "doc_id bigint, gram bigint")
+    grams = _ordered_prefixes(kept, percent)
     hubs = grams.groupBy("gram").agg(F.min("doc_id").alias("hub"), F.count("*").alias("c")).where("c > 1")
     pairs = written(grams.join(hubs, "gram").select("hub", "doc_id").distinct())
     sized = kept.select("doc_id", "shingles", F.expr("octet_length(shingles) div 8").alias("n"))
     blocks = pairs.join(sized.select("doc_id", "n"), "doc_id").groupBy("hub").agg(F.expr(f"CAST(ceil(sum(n) / {GROUP_SHINGLES}) AS int)").alias("blocks"))
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    dealt = pairs.join(blocks, "hub").select("hub", "doc_id", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("hub", "doc_id", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    links = dealt.join(sized.select("doc_id", "shingles"), "doc_id").groupBy("hub", "i", "j").applyInArrow(_join_group(percent), "a bigint, b bigint")
+    dealt = written(pairs.join(blocks, "hub").select("hub", "doc_id", "blocks", own.alias("own")))
+
+    def joined(groups: DataFrame) -> DataFrame:
+        """Links within the groups of (hub, i, j, doc_id, part)."""
+        return groups.join(sized.select("doc_id", "shingles"), "doc_id").groupBy("hub", "i", "j").applyInArrow(_join_group(percent), "a bigint, b bigint")
+
+    links = written(joined(dealt.select("hub", F.col("own").alias("i"), F.col("own").alias("j"), "doc_id", F.col("doc_id").alias("part"))))
+    split = dealt.where("blocks > 1")
+    if split.limit(1).count():
+        links = _across_blocks(links, split, sized, joined)
     # Copies stand for themselves by the least of their class, which alone is in the graph.
     least = every.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).where("c > 1")
     found = components(links)

@@ -58,12 +58,15 @@ def near_copies(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1, 2, 3])
 def test_jaccard_as_brute_force(spark, seed, monkeypatch):
     rows = near_copies(random.Random(seed), 150)
     if seed == 2:  # several portions, groups in several blocks
         monkeypatch.setattr(jaccard, "PORTION", 300)
         monkeypatch.setattr(jaccard, "GROUP_SHINGLES", 150)
+    if seed == 3:  # nearly all shared shingles are frequent, few of them listed
+        monkeypatch.setattr(jaccard, "FREQUENT", 1)
+        monkeypatch.setattr(jaccard, "LISTED", 50)
     got = {tuple(r) for r in jaccard.jaccard_components(spark.createDataFrame(rows, DOC).repartition(3)).collect()}
     assert got == brute_force_components(rows)
 
