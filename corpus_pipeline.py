@@ -38,7 +38,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of each text, and whether they decode to its bytes."""
     path = public_tokenizers.path(VOCABULARY)
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text", "lang", "source"), path, public_tokenizers.PATTERN, offsets=False), path)
+    coded = bpe.round_trip(docs.select("doc_id", "text", "lang", "source"), path, public_tokenizers.PATTERN)
     exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"), exact.alias("round_trip"))
 

@@ -163,3 +163,13 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """``df`` with ``decoded``: the bytes of its ids."""
     kept = df.drop("decoded")
     return kept.mapInArrow(_decoder(path, kept.columns.index(ids_col)), T.StructType([*kept.schema.fields, T.StructField("decoded", T.BinaryType())]))
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """``df`` with ``ids`` and the bytes they decode to, ``decoded``: both in one worker, batch by batch."""
+    small_batches(df.sparkSession)
+    kept = df.drop("ids", "decoded")
+    own = kept if keep_text else kept.drop(text_col)
+    forth, back = _encoder(path, pattern, kept.columns.index(text_col), False, keep_text), _decoder(path, len(own.columns))
+    schema = T.StructType([*own.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
+    return kept.mapInArrow(lambda batches: back(forth(batches)), schema)

@@ -20,8 +20,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN, offsets=False, keep_text=False)
-    both = bpe.decode(coded, path)
+    both = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN, keep_text=False)
     text = F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(text, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -54,6 +54,8 @@ def test_bpe_cases(spark):
                 assert not r["ids"] or (r["starts"][0], r["ends"][-1]) == (0, len(t))
                 for i, a, b in zip(r["ids"], r["starts"], r["ends"]):
                     assert enc.decode_single_token_bytes(i) in t[a:b].encode()
+    both = {r["doc_id"]: (r["ids"], bytes(r["decoded"])) for r in bpe.round_trip(df, PATH, public_tokenizers.PATTERN).collect()}
+    assert both == {i: (enc.encode_ordinary(t or ""), (t or "").encode()) for i, t in enumerate(texts)}
     assert bpe.encode(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
     split = spark.createDataFrame([(1, enc.encode_ordinary("👨")[:1]), (2, None)], "k int, ids array<int>")
     assert {r["k"]: bytes(r["decoded"]) for r in bpe.decode(split, PATH).collect()} == {1: enc.decode_single_token_bytes(enc.encode_ordinary("👨")[0]), 2: b""}
