@@ -3,18 +3,23 @@
 A text becomes template tokens: lower-cased runs of letters and digits, in which numbers, the units after them and names
 (capitalised words inside a sentence, runs of them as one) are replaced by typed placeholders.  Windows of 8 template
 tokens are looked up in a hash table of the benchmark's windows; so a question asked again with other numbers or names
-hits the same windows.  Windows with fewer than ``LITERALS`` other tokens say nothing and are left out.
+hits the same windows.  Windows of templates with fewer than ``LITERALS`` other tokens say nothing and are left out.
+
+An item has up to three readings, each looked up for itself; a text holds the item if it holds one of them: the template
+as at the start of a sentence, the template as inside one (where a capitalised first word is a name), and the plain words
+and numbers without placeholders, of which every window counts.  So what stands before an item changes nothing, and items
+full of numbers or names are found word for word.
 
 Hits on one diagonal (place in the text less place in the item) are one occurrence.  Its slots must be consistent: a value
 of the item always stands for the same value of the text, and different values for different ones; windows with a slot
 that breaks what most of the occurrence says are taken back.  A text holds an item if the windows left are ``COVERAGE``
-of the item's, or if they lie side by side over ``RUN`` tokens or more.
+of the reading's, or if they lie side by side over ``RUN`` tokens or more.
 
 The benchmark side is broadcast in blocks of at most ``BLOCK`` windows; a larger benchmark takes several passes over the
 texts.  Texts are never shuffled.
 
-Defined cases: null, empty and wordless texts hold nothing; items without words, or with placeholders alone, are in
-nothing; an item shorter than a window is looked up whole; repeated rows (of either table) each count; further columns
+Defined cases: null, empty and wordless texts hold nothing; items without words are in nothing; items with
+placeholders alone are found word for word only; an item shorter than a window is looked up whole; repeated rows (of either table) each count; further columns
 are kept or ignored; an empty benchmark leaves all texts clean; texts of any length are searched whole.
 """
 
@@ -78,17 +83,23 @@ class Templates:
     text: np.ndarray
 
 
-def templates(data: np.ndarray, offsets: np.ndarray) -> Templates:
+def plain_words(data: np.ndarray, offsets: np.ndarray) -> Templates:
+    """All words and numbers as they are, in lower case."""
     starts, ends, text = word_bounds(~_WORD[data], offsets)
-    if not len(starts):
-        none = np.empty(0, np.int64)
-        return Templates(np.empty(0, U), none, none, none, none)
-    hashes = _hash_words(data, starts, ends)
+    hashes = _hash_words(data, starts, ends) if len(starts) else np.empty(0, U)
+    return Templates(hashes, np.full(len(starts), PLAIN), starts, ends, text)
+
+
+def templates(data: np.ndarray, words: Templates, inside: bool = False) -> Templates:
+    """Templates of texts, of which the words are given; ``inside``: as if each text stood inside a sentence."""
+    if not len(words.text):
+        return words
+    hashes, starts, ends, text = words.hashes, words.starts, words.ends, words.text
     first, second = data[starts], np.where(ends - starts > 1, data[np.minimum(starts + 1, len(data) - 1)], 0)
     new_text = np.concatenate([[True], text[1:] != text[:-1]])
     gap = np.concatenate([[0], starts[1:] - ends[:-1]])
     stops = np.concatenate([[0], np.cumsum(_STOP[data])])
-    begins = new_text | (stops[starts] > stops[np.concatenate([[0], ends[:-1]])])
+    begins = (new_text & (not inside)) | ~new_text & (stops[starts] > stops[np.concatenate([[0], ends[:-1]])])
     number = (first >= 48) & (first <= 57)
     name = (first >= 65) & (first <= 90) & ((second >= 97) & (second <= 122) | (second >= 128)) & ~begins
     after = np.concatenate([[False], number[:-1]]) & ~new_text
@@ -115,7 +126,8 @@ def _windows(t: Templates, size: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Windows of a block of the benchmark, sorted by hash, with a bitmap of the hashes' first 20 bits."""
+    """Windows of readings of a block of the benchmark, sorted by hash, with a bitmap of the hashes' first 20 bits; ``items``: the
+    item number of each reading."""
 
     sizes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     items: list[int]
@@ -123,7 +135,7 @@ class Index:
     counts: np.ndarray
 
     def find(self, size: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(which of ``hashes``, item number, place in the item) for every pair that is equal."""
+        """(which of ``hashes``, number of the reading, place in it) for every pair that is equal."""
         keys, item, place, bitmap = self.sizes[size]
         at = np.flatnonzero(bitmap[(hashes >> U(44)).astype(np.int64)])
         lo, hi = np.searchsorted(keys, hashes[at]), np.searchsorted(keys, hashes[at], "right")
@@ -136,12 +148,7 @@ def _slots(t: Templates, data: np.ndarray, a: int, b: int) -> list[str]:
     return [bytes(data[s:e]).decode("utf-8", "replace").lower() if k != PLAIN else "" for s, e, k in zip(t.starts[a:b], t.ends[a:b], t.kinds[a:b])]
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
-    data = np.frombuffer("\n".join(x or "" for _, x in items).encode("utf-8", "surrogatepass"), np.uint8)
-    sizes = np.array([len((x or "").encode("utf-8", "surrogatepass")) + 1 for _, x in items])
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    offsets[-1] = len(data)
-    t = templates(data, offsets)
+def _index(t: Templates, data: np.ndarray, items: np.ndarray) -> Index:
     at = np.searchsorted(t.text, np.arange(len(items) + 1))
     length = np.diff(at)
     counts, found = np.zeros(len(items), np.int64), {}
@@ -159,7 +166,36 @@ def build_index(items: list[tuple[int, str]]) -> Index:
         counts += np.bincount(item, minlength=len(items))
         found[size] = (hashes, item, first - at[item], bitmap)
     tokens = [(t.kinds[a:b], _slots(t, data, a, b)) for a, b in zip(at, at[1:])]
-    return Index(found, [i for i, _ in items], tokens, counts)
+    return Index(found, items.tolist(), tokens, counts)
+
+
+@dataclass
+class Readings:
+    """The benchmark's ids, and the indexes of its templates and of its plain words."""
+
+    ids: list[int]
+    templates: Index
+    words: Index
+
+
+def build_index(items: list[tuple[int, str]]) -> Readings:
+    data = np.frombuffer("\n".join(x or "" for _, x in items).encode("utf-8", "surrogatepass"), np.uint8)
+    sizes = np.array([len((x or "").encode("utf-8", "surrogatepass")) + 1 for _, x in items])
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    offsets[-1] = len(data)
+    words, every = plain_words(data, offsets), np.arange(len(items))
+    start, inside = templates(data, words), templates(data, words, inside=True)
+    # Only items that begin with a name inside a sentence have a second template.
+    differs = np.zeros(len(items), bool)
+    if len(words.text):
+        at = np.searchsorted(inside.text, every)
+        some = np.flatnonzero(np.diff(np.append(at, len(inside.text))))
+        differs[some] = inside.kinds[at[some]] == NAME
+    kept = differs[inside.text]
+    second = np.cumsum(differs) - 1 + len(items)
+    both = Templates(*(np.concatenate([x, y[kept]]) for x, y in zip(vars(start).values(), vars(inside).values())))
+    both.text = np.concatenate([start.text, second[inside.text[kept]]])
+    return Readings([i for i, _ in items], _index(both, data, np.concatenate([every, every[differs]])), _index(words, data, every))
 
 
 def consistent(hits: list[tuple[int, int]], size: int, kinds: np.ndarray, item: list[str], text: list[str]) -> set[int]:
@@ -187,42 +223,51 @@ def _longest(places_hit: set[int], size: int) -> int:
     return best + size - 1 if best else 0
 
 
-def matches(column: pa.Array, index: Index, coverage: float = COVERAGE) -> Iterator[tuple[int, int, float, int]]:
-    """(row, item_id, share of the item's windows, longest run in tokens) for every item that a text holds."""
+def _held(t: Templates, data: np.ndarray, index: Index, coverage: float) -> Iterator[tuple[int, int, float, int]]:
+    """(text, item number, share of the reading's windows, longest run in tokens) for every reading that a text holds."""
+    for size in index.sizes:
+        first, hashes = _windows(t, size)
+        which, item, place = index.find(size, hashes)
+        if not len(which):
+            continue
+        token = first[which]
+        row = t.text[token]
+        groups: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+        # Few pairs have enough distinct windows before slots are looked at; only these go on.
+        key = row * len(index.items) + item
+        pair, at = np.unique(key * (1 << 20) + np.minimum(place, (1 << 20) - 1), return_index=True)
+        enough, n = np.unique(key[at], return_counts=True)
+        need = np.minimum(np.ceil(coverage * index.counts[enough % len(index.items)]), max(1, RUN - size + 1))
+        good = np.isin(key, enough[n >= need])
+        for r, i, q, p in zip(row[good].tolist(), item[good].tolist(), token[good].tolist(), place[good].tolist()):
+            groups[r, i].append((q, p))
+        for (r, i), hits in groups.items():
+            kinds, values = index.tokens[i]
+            lo, hi = min(q for q, _ in hits), max(q for q, _ in hits) + size
+            own = _slots(t, data, lo, hi)
+            kept: set[int] = set()
+            diagonals = defaultdict(list)
+            for q, p in hits:
+                diagonals[q - p].append((q - lo, p))
+            for d in diagonals.values():
+                kept |= consistent(d, size, kinds, values, own)
+            share, run = len(kept) / int(index.counts[i]), _longest(kept, size)
+            if kept and (share >= coverage or run >= RUN):
+                yield r, index.items[i], share, run
+
+
+def matches(column: pa.Array, index: Readings, coverage: float = COVERAGE) -> Iterator[tuple[int, int, float, int]]:
+    """(row, item_id, share, run) for every item that a text holds, by the reading of which it holds the most."""
     for base, _, data, offsets in in_slices(column):
-        t = templates(data, offsets)
-        for size in index.sizes:
-            first, hashes = _windows(t, size)
-            which, item, place = index.find(size, hashes)
-            if not len(which):
-                continue
-            token = first[which]
-            row = t.text[token]
-            groups: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-            # Few pairs have enough distinct windows before slots are looked at; only these go on.
-            key = row * len(index.items) + item
-            pair, at = np.unique(key * (1 << 20) + np.minimum(place, (1 << 20) - 1), return_index=True)
-            enough, n = np.unique(key[at], return_counts=True)
-            need = np.minimum(np.ceil(coverage * index.counts[enough % len(index.items)]), max(1, RUN - size + 1))
-            good = np.isin(key, enough[n >= need])
-            for r, i, q, p in zip(row[good].tolist(), item[good].tolist(), token[good].tolist(), place[good].tolist()):
-                groups[r, i].append((q, p))
-            for (r, i), hits in groups.items():
-                kinds, values = index.tokens[i]
-                lo, hi = min(q for q, _ in hits), max(q for q, _ in hits) + size
-                own = _slots(t, data, lo, hi)
-                kept: set[int] = set()
-                diagonals = defaultdict(list)
-                for q, p in hits:
-                    diagonals[q - p].append((q - lo, p))
-                for d in diagonals.values():
-                    kept |= consistent(d, size, kinds, values, own)
-                share, run = len(kept) / int(index.counts[i]), _longest(kept, size)
-                if kept and (share >= coverage or run >= RUN):
-                    yield base + r, index.items[i], share, run
-
-
-def _blocks(benchmark: DataFrame) -> Iterator[Index]:
+        words, best = plain_words(data, offsets), {}
+        for t, part in ((templates(data, words), index.templates), (words, index.words)):
+            for r, i, share, run in _held(t, data, part, coverage):
+                best[r, i] = max(best.get((r, i), (0.0, 0)), (share, run))
+        for (r, i), (share, run) in best.items():
+            yield base + r, index.ids[i], share, run
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[Readings]:
     held, size = [], 0
     for row in benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("bigint"), "text").toLocalIterator():
         held.append((row[0], row[1]))

@@ -285,6 +285,15 @@ def test_leak_cases(spark):
     assert decontam.find_leaks(df.limit(0), items).count() == 0
 
 
+def test_leaks_word_for_word_whatever_stands_before(spark):
+    texts = ["What is 12 + 7 * 3 - 4?", "Compute 3 + 4 * 5 - 6 / 2 + 8 * 9 - 10.", "What is the boiling point of water?", "Ann Lee, Bob Ray, Cy Poe", "What is the price of 5 kg of bread in June?", "12 13 14"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    held = [(10 * i + k, before + t) for i, t in enumerate(texts) for k, before in enumerate(("", "Question: ", "as Dora asked, ", "so "))]
+    others = [(90, "Question: What is the price of 9 kg of bread in May?"), (91, "What is 12 + 7 * 3 - 5?"), (92, "12 13 15 14"), (93, "Ann Lee and Cy Poe")]
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontam.find_leaks(spark.createDataFrame(held + others, DOC), items).collect())
+    assert got == [(d, d // 10) for d, _ in held] + [(90, 4)]
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(1, ITEM), (2, "clean")], DOC)
     items = spark.createDataFrame([(i, ITEM if i == 3 else f"Item number {i} asks what the {i} things of this other question would be.") for i in range(6)], "item_id bigint, text string")
