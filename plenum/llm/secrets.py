@@ -6,9 +6,11 @@ of the models (at most 2 x 69 x 69 rows, whatever the sample).
 Patterns give the base spans: matches from left to right without overlap, those that are too short dropped.  Positions are
 code points: the lengths of the pieces between the matches and of the matches add up to them.
 
-The models: for each class of the labelled sample, counts of a character after a character with ``SMOOTHING`` added.  A
-run of 20 or more token characters that touches no base span is a ``markov`` span if the log-likelihood ratio of the two
-models over its characters is ``margin`` nats or more.
+The models: for each class of the labelled sample, counts of a character after a character with ``SMOOTHING`` added.
+Base spans are taken out of the runs of token characters; a part of 20 or more that is left is a ``markov`` span if the
+log-likelihood ratio of the two models over its characters is ``margin`` nats or more.  If it is not, its segments of
+the highest ratio are taken, each widened to the next of ``/ = _ -``: those of ``margin`` or more, and of 20 characters or
+more once widened, are spans.  So ordinary text around a secret does not hide it.
 
 Defined cases: a null text is empty; an empty text has no spans; repeated rows each get their result; further columns
 are ignored; an empty table gives an empty result; a text of any length is scanned whole.
@@ -30,7 +32,8 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN_CHARS = 20
+RUN = rf"[A-Za-z0-9+/_=-]{{{RUN_CHARS},}}"
 KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
@@ -49,6 +52,7 @@ WORDS = (
     "elle tion ment eaux que los para ción como mente".split()
 )
 _SPAN = "array<struct<s:int,k:int,e:int>>"
+_PART = "array<struct<s:int,e:int>>"
 
 
 def labelled_sample(spark: SparkSession, rows: int = SAMPLE_ROWS, start: int = 0) -> DataFrame:
@@ -88,27 +92,112 @@ def _codes(c: Column) -> Column:
     return F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.instr(F.lit(ALPHABET), x))
 
 
-def likelihood_ratio(c: Column, ratio: list[float]) -> Column:
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _scores(c: Column, ratio: list[float]) -> Column:
+    """The log-likelihood ratio of each character."""
     width = len(ALPHABET) + 1
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratio)), ",").cast("array<double>")
-    step = lambda a, x: F.struct(x.alias("prev"), (a["sum"] + F.element_at(table, a["prev"] * width + x + 1)).alias("sum"))
-    return F.aggregate(_codes(c), F.struct(F.lit(0).alias("prev"), F.lit(0.0).alias("sum")), step, lambda a: a["sum"])
+    return _let(_codes(c), lambda x: F.transform(x, lambda b, i: F.element_at(table, F.coalesce(F.get(x, i - 1), F.lit(0)) * width + b + 1)))
+
+
+def _sum(scores: Column) -> Column:
+    return F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
+
+
+def likelihood_ratio(c: Column, ratio: list[float]) -> Column:
+    return _sum(_scores(c, ratio))
+
+
+def _segments(scores: Column, margin: float) -> Column:
+    """(s, e) of the segments with a sum of ``margin`` or more: each ends at its highest sum, once the sum has fallen by ``margin``."""
+
+    def step(a: Column, x: Column) -> Column:
+        now, t = a["i"] + 1, a["sum"] + x
+        # The best sum since the highest one is what the next segment begins with.
+        later = F.greatest(a["later"], F.lit(0.0)) + x
+        later_s = F.when(later <= 0, now).otherwise(F.when(a["later"] <= 0, a["i"]).otherwise(a["later_s"]))
+        full = a["peak"] >= margin
+        closed, sunk, risen = full & (t <= a["peak"] - margin), ~full & (t <= 0), t > a["peak"]
+        total = F.when(closed, F.greatest(later, F.lit(0.0))).when(sunk, 0.0).otherwise(t)
+        return F.struct(
+            now.alias("i"),
+            total.alias("sum"),
+            F.when(closed, later_s).when(sunk, now).otherwise(a["s"]).alias("s"),
+            F.when(closed | sunk | risen, total).otherwise(a["peak"]).alias("peak"),
+            F.when(closed | sunk | risen, now).otherwise(a["e"]).alias("e"),
+            F.when(closed | sunk | risen, 0.0).otherwise(later).alias("later"),
+            F.when(closed | sunk | risen, now).otherwise(later_s).alias("later_s"),
+            F.when(closed, F.concat(a["out"], F.array(F.struct(a["s"].alias("s"), a["e"].alias("e"))))).otherwise(a["out"]).alias("out"),
+        )
+
+    zero = lambda n: F.lit(0).alias(n)
+    none = lambda n: F.lit(0.0).alias(n)
+    first = F.struct(zero("i"), none("sum"), zero("s"), none("peak"), zero("e"), none("later"), zero("later_s"), F.array().cast(_PART).alias("out"))
+    last = lambda a: F.when(a["peak"] >= margin, F.concat(a["out"], F.array(F.struct(a["s"].alias("s"), a["e"].alias("e"))))).otherwise(a["out"])
+    return F.aggregate(scores, first, step, last)
 
 
-def _matches(text: Column, pattern: str, kind: int, keep) -> Column:
-    """Spans of the matches that ``keep(match)`` holds for; the whole text is split only where the pattern occurs."""
+def _random_parts(run: Column, ratio: list[float], margin: float) -> Column:
+    """(s, e) of what is random in a run: all of it, or its segments widened to the marks around them, those that overlap as one."""
+
+    def widened(cut: Column, x: Column) -> Column:
+        part = F.substring(cut, x["s"] + 1, x["e"] - x["s"])
+        s = x["s"] + F.length(part) - F.length(F.ltrim(part, F.lit("/")))
+        e = x["e"] - F.length(part) + F.length(F.rtrim(part, F.lit("/")))
+        before, after = F.substring(cut, F.lit(1), s), F.substring(cut, e + 1, F.length(cut))
+        return F.struct((s - F.length(F.substring_index(before, "/", -1))).alias("s"), (e + F.length(F.substring_index(after, "/", 1))).alias("e"))
+
+    def merged(a: Column, x: Column) -> Column:
+        joins = F.coalesce(F.get(a, F.size(a) - 1)["e"] > x["s"], F.lit(False))
+        last = F.get(a, F.size(a) - 1)
+        one = F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e"))
+        return F.when(joins, F.concat(F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.array(one))).otherwise(F.concat(a, F.array(x)))
+
+    def of(scores: Column) -> Column:
+        wide = _let(F.translate(run, "=_-", "///"), lambda cut: F.transform(_segments(scores, margin), lambda x: widened(cut, x)))
+        parts = F.filter(F.aggregate(wide, F.array().cast(_PART), merged), lambda x: x["e"] - x["s"] >= RUN_CHARS)
+        whole = F.array(F.struct(F.lit(0).alias("s"), F.length(run).alias("e")))
+        return F.when(_sum(scores) >= margin, whole).otherwise(parts)
+
+    return _let(_scores(run, ratio), of)
+
+
+def _outside(start: Column, end: Column, spans: Column) -> Column:
+    """(s, e), counted from ``start``, of the parts from ``start`` to ``end`` of RUN_CHARS or more that no span touches."""
+
+    def step(a: Column, y: Column) -> Column:
+        part = F.array(F.struct((a["at"] - start).alias("s"), (y["s"] - start).alias("e")))
+        return F.struct(F.greatest(a["at"], y["e"]).alias("at"), F.when(y["s"] - a["at"] >= RUN_CHARS, F.concat(a["out"], part)).otherwise(a["out"]).alias("out"))
+
+    near = F.filter(spans, lambda y: (y["s"] < end) & (start < y["e"]))
+    behind = lambda a: F.when(end - a["at"] >= RUN_CHARS, F.concat(a["out"], F.array(F.struct((a["at"] - start).alias("s"), (end - start).alias("e"))))).otherwise(a["out"])
+    return F.aggregate(near, F.struct(start.alias("at"), F.array().cast(_PART).alias("out")), step, behind)
+
+
+def _matches(text: Column, pattern: str, kind: int, parts) -> Column:
+    """Spans of ``parts(match, start, end)`` of the matches, (s, e) counted from the match's start; the whole text is split only
+    where the pattern occurs."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def step(a: Column, m: Column) -> Column:
         start = a["at"] + F.length(F.element_at(gaps, a["n"] + 1))
         end = start + F.length(m)
-        span = F.array(F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e")))
-        return F.struct((a["n"] + 1).alias("n"), end.alias("at"), F.when(keep(m), F.concat(a["out"], span)).otherwise(a["out"]).alias("out"))
+        spans = F.transform(parts(m, start, end), lambda x: F.struct((start + x["s"]).alias("s"), F.lit(kind).alias("k"), (start + x["e"]).alias("e")))
+        return F.struct((a["n"] + 1).alias("n"), end.alias("at"), F.concat(a["out"], spans).alias("out"))
 
     first = F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
     return F.aggregate(found, first, step, lambda a: a["out"])
 
 
+def _whole_if(keep):
+    """All of a match if ``keep(match)`` holds, else nothing of it."""
+    return lambda m, start, end: F.when(keep(m), F.array(F.struct(F.lit(0).alias("s"), F.length(m).alias("e")))).otherwise(F.array().cast(_PART))
+
+
 def _where_found(text: Column, probe: str, spans: Column) -> Column:
     return F.when(F.rlike(text, F.lit(probe)), spans).otherwise(F.array().cast(_SPAN))
 
@@ -118,15 +207,19 @@ def with_spans(docs: DataFrame, ratio: list[float], text_col: str = "text", marg
     text, (base, added) = text_or_empty(text_col), names
     found = F.array_sort(
         F.concat(
-            _where_found(text, ASSIGN, _matches(text, ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6)),
-            _where_found(text, ACCESS, _matches(text, ACCESS, 1, lambda m: F.length(m) >= 20)),
+            _where_found(text, ASSIGN, _matches(text, ASSIGN, 0, _whole_if(lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6))),
+            _where_found(text, ACCESS, _matches(text, ACCESS, 1, _whole_if(lambda m: F.length(m) >= 20))),
             # Only runs of 24 or more are looked for: every text has short ones, and they are dropped anyway.
-            _where_found(text, r"[0-9a-f]{24}", _matches(text, r"[0-9a-f]{24,}", 2, lambda m: F.lit(True))),
+            _where_found(text, r"[0-9a-f]{24}", _matches(text, r"[0-9a-f]{24,}", 2, _whole_if(lambda m: F.lit(True)))),
         )
     )
-    runs = _where_found(text, RUN, _matches(text, RUN, 3, lambda m: likelihood_ratio(m, ratio) >= margin))
-    apart = F.filter(F.col(added), lambda x: ~F.exists(F.col(base), lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
-    return docs.withColumn(base, found).withColumn(added, runs).withColumn(added, apart)
+
+    def parts(m: Column, start: Column, end: Column) -> Column:
+        free = _outside(start, end, F.col(base))
+        inner = lambda p: F.transform(_random_parts(F.substring(m, p["s"] + 1, p["e"] - p["s"]), ratio, margin), lambda x: F.struct((p["s"] + x["s"]).alias("s"), (p["s"] + x["e"]).alias("e")))
+        return F.flatten(F.transform(free, inner))
+
+    return docs.withColumn(base, found).withColumn(added, _where_found(text, RUN, _matches(text, RUN, 3, parts)))
 
 
 def joined(spans: Column) -> Column:

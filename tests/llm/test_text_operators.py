@@ -110,6 +110,17 @@ def test_secret_cases(spark):
     assert secrets.redact(df.limit(0)).count() == 0
 
 
+def test_secrets_inside_longer_runs(spark):
+    key, other, hexes = "4eC39HqLyjWDarjtT1zdp7dc", "wJalrXUtnFEMIK7MDENGbPxRfiCYzEXAMPLEKEY9", "0123456789abcdef" * 2
+    path = "/account/customer/invoice/report/session/"
+    texts = [f"é {path}{key}", f"{path}{key}/account/customer/invoice/report", f"/{hexes}/{other}", f"AKIA{'Q' * 16}/{other}", f"{path}{key}{path}{other}{path}", path * 5]
+    df = spark.createDataFrame(list(enumerate(texts)), DOC)
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert all(key not in t and other not in t and hexes not in t for t in clean.values()), clean
+    assert clean[0] == f"é {path}[SECRET]" and clean[5] == texts[5]
+    assert [clean[i].count("[SECRET]") for i in range(5)] == [1, 1, 2, 2, 2]
+
+
 def test_markov_model_tells_random_strings_from_identifiers(spark):
     ratio = secrets.train(secrets.labelled_sample(spark))
     fresh = secrets.labelled_sample(spark, 2_000, start=1_000_000).where(F.length("sample") >= 20)
