@@ -4,7 +4,10 @@ A text is put into canonical form (ASCII case, copyright lines, equivalent spell
 made equal) and its digest is joined with the digests of known licence texts.  Two units are looked up: the entire text
 of a document, and each of its paragraphs (lines), so that a notice that ends a page is found as well.
 
-The registry is a table ``(license_id, text)``.  It is broadcast only up to ``MAX_BROADCAST`` rows, otherwise the digests
+The built-in registry has the notices below and the full texts of ``license_texts`` with their usual variants: titles,
+numbered or bulleted clauses, with or without the terms' appendix, one line a paragraph.
+
+A registry is a table ``(license_id, text)``.  It is broadcast only up to ``MAX_BROADCAST`` rows, otherwise the digests
 are joined by shuffle.  Rows of documents are never shuffled with their text: only digests that hit are.
 
 Defined cases: a null or empty text, or one without letters or digits, has a null digest and no licence; repeated rows
@@ -14,6 +17,10 @@ are all listed, in order of their id.
 
 from __future__ import annotations
 
+import re
+from itertools import product
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,20 +78,25 @@ def canonical(c: Column) -> Column:
     return F.trim(c)
 
 
-def anchors(forms: list[str]) -> str | None:
-    """A pattern that any text with one of these canonical forms matches, in lower case: a long word of each form, in all
-    its spellings.  None if that is too many words to look for, or a form has no word that only single words become."""
-    single = [(a, b) for a, b in SPELLINGS if " " not in a + b]
-    # Words that a phrase becomes, or is made of, may be absent from the text itself.
-    phrases = {w for a, b in SPELLINGS if " " in a + b for w in (*a.split(), *b.split())}
-    spelt = {b: {b, *(x for x, y in single if y == b)} for _, b in single}
-    words: set[str] = set()
-    for form in forms:
-        own = [w for w in form.split() if w not in phrases]
-        if not own:
-            return None
-        words |= spelt.get(max(own, key=len), {max(own, key=len)})
-    return "|".join(sorted(words)) if 0 < len(words) <= MAX_ANCHORS else None
+_SINGLE = [(a, b) for a, b in SPELLINGS if " " not in a + b]
+#: Words that a phrase becomes, or is made of, may be absent from the text itself.
+_PHRASES = sorted({w for a, b in SPELLINGS if " " in a + b for w in (*a.split(), *b.split())})
+
+
+def anchor(form: Column) -> Column:
+    """The longest word of a canonical form that only single words become; null if it has none."""
+    own = F.filter(F.split(form, " "), lambda w: ~w.isin(_PHRASES))
+    return F.array_max(F.transform(own, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+
+
+def anchors(words: list[str | None]) -> str | None:
+    """A pattern that any text with a canonical form of one of these anchors matches, in lower case: each in all its
+    spellings.  None if that is too many words to look for, or a form has no anchor."""
+    if None in words:
+        return None
+    spelt = {b: {b, *(x for x, y in _SINGLE if y == b)} for _, b in _SINGLE}
+    found = {x for w in words for x in spelt.get(w, {w})}
+    return "|".join(sorted(found)) if 0 < len(found) <= MAX_ANCHORS else None
 
 
 def digest(c: Column) -> Column:
@@ -93,14 +105,44 @@ def digest(c: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of the full texts, in each of their usual variants."""
+    read = {f.stem: f.read_text("utf-8") for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+    found = []
+
+    def short(name: str, titles: tuple[str, ...], bodies: list[str]) -> None:
+        found.extend((name, f"{t}\n\n{r}\n\n{b}") for t, r, b in product(("", *titles), ("", "All rights reserved."), bodies))
+
+    short("MIT", ("MIT License", "The MIT License", "The MIT License (MIT)"), [read.pop("MIT")])
+    isc = read.pop("ISC")
+    short("ISC", ("ISC License", "The ISC License"), [isc, isc.replace("and/or", "and")])
+    short("0BSD", ("BSD Zero Clause License", "Zero-Clause BSD"), [isc.replace(", provided that the above\ncopyright notice and this permission notice appear in all copies", "")])
+    three = read.pop("BSD-3-Clause")
+    two = re.sub(r" \* Neither.*?permission\.\n\n", "", three, flags=re.S)
+    for name, n, text in (("BSD-3-Clause", 3, three), ("BSD-2-Clause", 2, two)):
+        numbers = iter(range(1, 4))
+        numbered = re.sub(r"(?m)^ \* ", lambda _: f"{next(numbers)}. ", text)
+        plural = [t.replace("COPYRIGHT OWNER OR", "COPYRIGHT HOLDERS OR") for t in (text, numbered)]
+        named = {2: ("Simplified BSD License", "FreeBSD License"), 3: ("New BSD License", "Modified BSD License")}[n]
+        short(name, (f"BSD {n}-Clause License", f"The BSD {n}-Clause License", "BSD License", *named), [text, numbered, *plural])
+    for name, text in read.items():
+        end = re.match(r"(?s).*END OF TERMS AND CONDITIONS", text)
+        terms = re.sub(r"\s*END OF TERMS AND CONDITIONS$", "", end[0]) if end else text
+        found.extend((name, t) for t in dict.fromkeys((text, end[0] if end else text, terms)))
+    # A line that begins with the word is taken for a copyright line, so where lines end can matter.
+    joined = [(name, re.sub(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)", " ", t)) for name, t in found]
+    return list(dict.fromkeys(found + joined))
+
+
 def registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(REGISTRY), "license_id string, text string")
+    return spark.createDataFrame([*REGISTRY, *full_texts()], "license_id string, text string")
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, ``text_digest``, ``text_license`` (of the entire text) and ``notice_licenses`` (of its lines)."""
-    forms = [r[0] for r in known.where("license_id IS NOT NULL").select(canonical(F.col("text"))).distinct().limit(MAX_ANCHORS + 1).collect() if r[0]]
-    pattern = anchors(forms) if len(forms) <= MAX_ANCHORS else None
+    forms = known.where("license_id IS NOT NULL").select(canonical(F.col("text")).alias("f")).where("f <> ''")
+    words = [r[0] for r in forms.select(anchor(F.col("f"))).distinct().limit(MAX_ANCHORS + 1).collect()]
+    pattern = anchors(words)
     known = known.select("license_id", digest(F.col("text")).alias("k")).where("k IS NOT NULL AND license_id IS NOT NULL").distinct()
     known = known.groupBy("k").agg(F.min("license_id").alias("license_id"))
     if known.count() <= MAX_BROADCAST:

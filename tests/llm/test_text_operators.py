@@ -147,6 +147,21 @@ def test_license_cases(spark):
     assert licenses.scan_licenses(df.limit(0), licenses.registry(spark)).count() == 0
 
 
+def test_full_license_texts(spark):
+    from pathlib import Path
+
+    texts = {f.stem: f.read_text() for f in (Path(licenses.__file__).parent / "license_texts").glob("*.txt")}
+    apache = texts["Apache-2.0"].split("   APPENDIX")[0]
+    numbered = texts["BSD-3-Clause"].replace(" * Redistributions of", "1. Redistributions of").replace(" * Redistributions in", "2. Redistributions in").replace(" * Neither", "3. Neither")
+    cases = [("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 A. Body\n\n" + texts["MIT"]), ("MIT", "Copyright 1999 B\n" + " ".join(texts["MIT"].split())), ("Apache-2.0", apache)]
+    cases += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + numbered), (None, texts["MIT"] + "\nbut not on Sundays")]
+    cases += list(texts.items())
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], DOC)
+    got = {r["doc_id"]: r["text_license"] for r in licenses.scan_licenses(df, licenses.registry(spark)).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(cases)}
+    assert {"BSD-2-Clause", "0BSD", "GPL-2.0", "MPL-2.0"} <= {name for name, _ in licenses.full_texts()}
+
+
 # --- urls -------------------------------------------------------------------------------------------------------------
 
 
