@@ -10,7 +10,8 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.  Docum
    portions and answer with counts per document.  Fingerprints of 32 bits within a bucket may collide, which keeps a
    document for the exact steps and never drops one.
 2. *Copies.*  Equal sets form a class; only the least document of a class goes on.  Step 1 runs again over these, where
-   what only copies shared is no longer shared.
+   what only copies shared is no longer shared.  At the end rows get what their class got; the classes with most copies, a
+   bounded number, are broadcast for that, so that copies of one text don't meet in one task.
 3. *Groups.*  In an order of all shingles that is the same for all documents, linked documents share a shingle of their
    prefixes, the first ``n - ceil(percent * n / 100) + 1``.  The order is by hash, but shingles found in over ``FREQUENT``
    prefixes come last, by their number, so that passages that many documents share don't bring these together; at most
@@ -28,8 +29,10 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.  Docum
 Sets are compared by 64-bit hashes; two different shingles are taken for one with a chance of about 2**-64 a pair.
 
 Defined cases: null or empty texts, or of white space only, have no shingles, link with nothing and are their own
-component; fewer than five words make one shingle; rows that repeat a doc_id each get a row, by their own text; rows with a
-null doc_id link with nothing and have a null component; further columns are ignored; an empty table gives an empty result.
+component; fewer than five words make one shingle; rows that repeat a doc_id each get a row, by their own text, and different
+texts of one doc_id are linked only by their texts; rows with a null doc_id link with nothing and have a null component;
+texts of any length are taken whole, a text is the least that a task holds; further columns are ignored; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -41,6 +44,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import small_batches, written
 from .graph import components
@@ -53,6 +57,8 @@ PORTION, GROUP_SHINGLES = 600_000, 1_500_000
 FREQUENT, LISTED, ROUNDS = 64, 65_536, 3
 #: Documents a bucket, for the number of buckets.
 DOCS_A_BUCKET = 1_000
+#: Most classes of copies that are broadcast: those of more than 100 rows and one in HOT of all rows.
+HOT = 10_000
 
 _PACKED = "key bigint, portion bigint, docs binary, info binary, counts binary, fingerprints binary, repeated binary"
 _INFO = np.dtype([("doc_id", "<i8"), ("n", "<i4"), ("shared", "<i4"), ("d1", "<i8"), ("d2", "<i8")])
@@ -105,7 +111,7 @@ def _pack(sets: Callable, bits: int):
             if 2 * len(part) < len(owned):
                 yield row | {"docs": part.astype(np.uint16).tobytes()}
             else:
-                yield row | {"counts": np.bincount(part, minlength=len(owned)).astype(np.uint16).tobytes()}
+                yield row | {"counts": np.bincount(part, minlength=len(owned)).astype(np.uint32).tobytes()}
 
     names = ["key", "portion", "docs", "info", "counts", "fingerprints", "repeated"]
     types = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
@@ -156,7 +162,7 @@ def _meet(table: pa.Table) -> pa.Table:
         hit = shared[at] == p
         if not hit.any():
             continue
-        doc = np.frombuffer(r["docs"], np.uint16) if r["docs"] is not None else np.repeat(np.arange(len(r["counts"]) // 2), np.frombuffer(r["counts"], np.uint16))
+        doc = np.frombuffer(r["docs"], np.uint16) if r["docs"] is not None else np.repeat(np.arange(len(r["counts"]) // 4), np.frombuffer(r["counts"], np.uint32))
         out["portion"].append(r["portion"])
         out["docs"].append(doc[hit].astype(np.uint16).tobytes())
         out["info"].append(None)
@@ -190,7 +196,7 @@ def shared_enough(df: DataFrame, sets: Callable, percent: int) -> DataFrame:
 def _kept_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets of the documents that stand for a class; a row that repeats the doc_id with another text is left out."""
     for batch in batches:
-        d1, d2, every = batch.column("d1").to_pylist(), batch.column("d2").to_pylist(), batch.column("doc_id").to_pylist()
+        d1, d2, every = batch.column("d1").to_pylist(), batch.column("d2").to_pylist(), batch.column("node").to_pylist()
         ids, sets = [], []
         for i, s in shingle_sets(batch.column("text"), WORDS):
             if set_digest(s) == (d1[i], d2[i]):
@@ -358,14 +364,41 @@ def _across_blocks(links: DataFrame, split: DataFrame, sized: DataFrame, joined:
     return links.unionAll(joined(spread.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "part")))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
-    small_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    known = docs.where("doc_id IS NOT NULL")
+def _classes(every: DataFrame) -> tuple[DataFrame, bool]:
+    """Distinct sets: d1, d2, doc_id (the least), c (documents), maybe, node; and whether a doc_id stands for several of them.
+
+    ``node`` names a class and has the order of doc_id: the doc_id itself, or a number where ids repeat with other texts.
+    """
+    found = written(every.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("c"), F.bool_or("maybe").alias("maybe")))
+    if not found.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return found.withColumn("node", F.col("doc_id")), False
+    return written(found.orderBy("doc_id", "d1", "d2").withColumn("node", F.monotonically_increasing_id())), True
+
+
+def _judged(known: DataFrame, percent: int) -> DataFrame:
+    """One row per row of ``known`` (doc_id, text): doc_id, n, d1, d2, component_id, and head: it may stand for its component."""
     every = written(shared_enough(known, _sets_of_text, percent))
-    classes = every.where("maybe").groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"))
-    sets = written(known.join(classes, "doc_id").select("doc_id", "text", "d1", "d2").mapInArrow(_kept_sets, "doc_id bigint, shingles binary"))
+    classes, repeat = _classes(every)
+    sets = known.join(classes.where("maybe").select("doc_id", "d1", "d2", "node"), "doc_id").select("node", "text", "d1", "d2").mapInArrow(_kept_sets, "doc_id bigint, shingles binary")
+    links = _links(written(sets.dropDuplicates(["doc_id"]) if repeat else sets), percent)
+    named = classes.join(components(links).withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").withColumn("part", F.coalesce("component", "node"))
+    if repeat:
+        named = named.join(classes.select(F.col("node").alias("part"), F.col("doc_id").alias("least")), "part")
+    else:
+        named = named.withColumn("least", F.col("part"))
+    head = F.when(F.col("node") == F.col("part"), F.col("doc_id"))
+    named = written(named.select("d1", "d2", "c", F.col("least").alias("component_id"), head.alias("head")))
+    # Classes of more copies than that are HOT at most, whatever the table: their rows meet them by broadcast, not in one task.
+    many = max(100, every.count() // HOT)
+    hot = F.broadcast(named.where(F.col("c") > many))
+    full = every.where("n > 0")
+    rows = full.join(hot, ["d1", "d2"]).unionByName(full.join(hot.select("d1", "d2"), ["d1", "d2"], "left_anti").join(named.where(F.col("c") <= many), ["d1", "d2"]))
+    rows = rows.select("doc_id", "n", "d1", "d2", "component_id", F.coalesce(F.col("doc_id") == F.col("head"), F.lit(False)).alias("head"))
+    return rows.unionByName(every.where("n = 0").select("doc_id", "n", "d1", "d2", F.col("doc_id").alias("component_id"), F.lit(True).alias("head")))
+
+
+def _links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among sets of different shingles, a spanning forest of each group's."""
     again = shared_enough(sets, _sets_of_bytes, percent).where("maybe").select("doc_id")
     kept = written(sets.join(again, "doc_id", "left_semi"))
     grams = _ordered_prefixes(kept, percent)
@@ -382,13 +415,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     links = written(joined(dealt.select("hub", F.col("own").alias("i"), F.col("own").alias("j"), "doc_id", F.col("doc_id").alias("part"))))
     split = dealt.where("blocks > 1")
-    if split.limit(1).count():
-        links = _across_blocks(links, split, sized, joined)
-    # Copies stand for themselves by the least of their class, which alone is in the graph.
-    least = every.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).where("c > 1")
-    found = components(links)
-    classed = every.join(least.drop("c"), ["d1", "d2"], "left").select("doc_id", "n", F.coalesce("least", "doc_id").alias("least"))
-    result = classed.join(found, F.col("least") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "least").alias("component_id"))
+    return _across_blocks(links, split, sized, joined) if split.limit(1).count() else links
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    small_batches(docs.sparkSession)
+    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    result = _judged(docs.where("doc_id IS NOT NULL"), percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     lost = docs.where("doc_id IS NULL").mapInArrow(_only_sizes, "doc_id bigint, n_shingles bigint, component_id bigint")
     return result.unionAll(lost)
 
@@ -400,10 +434,28 @@ def _only_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([none, n, none], names=["doc_id", "n_shingles", "component_id"])
 
 
+def _with_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [set_digest(s) for _, s in shingle_sets(batch.column("text"), WORDS)]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array([x[k] for x in found], pa.int64()) for k in (0, 1))], names=["row", "d1", "d2"])
+
+
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component, its least; all columns as they were, rows with a null id are kept."""
+    """``docs`` with one document of each component, its least; all columns as they were, rows with a null id are kept.
+
+    Where a doc_id repeats, rows are told apart by their sets: texts that differ are documents of their own, and of rows of
+    equal id and set the one of the least digest over all columns stays.
+    """
+    small_batches(docs.sparkSession)
     columns = docs.columns
-    spare = jaccard_components(docs, percent=percent).where("component_id < doc_id").select("doc_id").distinct()
-    rest = docs.join(spare, "doc_id", "left_anti")
-    # A doc_id that occurs in several rows is one document: one of its rows stays.
-    return rest.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(rest.where("doc_id IS NULL")).select(*columns)
+    own = docs.where("doc_id IS NOT NULL")
+    judged = written(_judged(own.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), percent))
+    if not judged.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return docs.join(judged.where("NOT head").select("doc_id"), "doc_id", "left_anti").select(*columns)
+    every = F.struct(*(F.col(f"`{c}`") for c in columns))
+    digests = own.select(F.struct(every.alias("x")).alias("row"), "text")
+    marked = digests.mapInArrow(_with_digests, T.StructType([digests.schema["row"], T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())]))
+    heads = judged.where("head").select(F.col("doc_id").alias("_id"), "d1", "d2").distinct()
+    kept = marked.withColumn("_id", F.col("row.x.doc_id").cast("bigint")).join(heads, ["_id", "d1", "d2"], "left_semi")
+    one = kept.groupBy("_id", "d1", "d2").agg(F.min_by("row", F.sha2(F.to_json("row"), 256)).alias("row"))
+    return one.select("row.x.*").unionByName(docs.where("doc_id IS NULL")).select(*columns)

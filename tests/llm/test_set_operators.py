@@ -83,6 +83,36 @@ def test_jaccard_cases(spark):
     assert jaccard.jaccard_components(df.limit(0)).count() == 0 and jaccard.one_of_each(df.limit(0)).count() == 0
 
 
+def test_jaccard_with_a_text_of_a_million_words(spark):
+    huge = " ".join(f"{i:x}" for i in range(1_200_000))
+    rows = [(1, huge), (2, huge + " tail"), (3, "a few other words of a short text"), (4, None), (5, "a few other words of a short text")]
+    got = {tuple(r) for r in jaccard.jaccard_components(spark.createDataFrame(rows, DOC).repartition(2)).collect()}
+    assert got == {(1, 1_199_996, 1), (2, 1_199_997, 1), (3, 4, 3), (4, 0, 4), (5, 4, 3)}
+
+
+def test_ids_that_repeat_with_other_texts(spark, monkeypatch):
+    t, u = " ".join(f"word{i}" for i in range(40)), " ".join(f"other{i}" for i in range(30))
+    rows = [(6, t, 1), (7, t + " tail", 2), (7, u, 3), (7, u, 4), (7, "", 5), (8, u, 6), (9, u + " end", 7), (10, t.upper(), 8), (None, t, 9), (11, "", 10)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, mark int").withColumn("row", F.lit("own")).withColumn("d1", F.lit(0)).withColumn("m", F.create_map(F.lit("a"), "mark"))
+    got = sorted((tuple(r) for r in jaccard.jaccard_components(df).collect()), key=str)
+    assert got == sorted([(6, 36, 6), (7, 37, 6), (7, 26, 7), (7, 26, 7), (7, 0, 7), (8, 26, 7), (9, 27, 7), (10, 36, 6), (None, 36, None), (11, 0, 11)], key=str)
+    left = jaccard.one_of_each(df)
+    assert left.columns == df.columns
+    kept = {(r["doc_id"], r["text"]) for r in left.collect()}
+    assert kept == {(6, t), (7, u), (7, ""), (None, t), (11, "")} and left.count() == 5
+    # Without repeated ids, and with every class of copies met by broadcast.
+    plain = df.where("mark NOT IN (2, 4, 5)")
+    assert {(r["doc_id"], r["text"]) for r in jaccard.one_of_each(plain).collect()} == {(6, t), (7, u), (None, t), (11, "")}
+
+
+def test_hot_copies(spark):
+    rng = random.Random(9)
+    base = near_copies(rng, 60)
+    rows = [(1_000 + i, base[3][1]) for i in range(250)] + [(2_000 + i, "") for i in range(150)] + [(3_000 + i, "x y z") for i in range(120)] + base
+    got = {tuple(r) for r in jaccard.jaccard_components(spark.createDataFrame(rows, DOC).repartition(4)).collect()}
+    assert got == brute_force_components(rows)
+
+
 def test_threshold_is_met_exactly(spark):
     # 7 shingles in common of 9 or 10: 77.8 and 70 per cent; 6 of 8: exactly 75.
     base = [f"s{i}" for i in range(11)]
