@@ -4,9 +4,11 @@ Features of a text: each of its words (split at white space), the character n-gr
 and each pair of neighbouring words (a word after itself counts as one same pair, whatever the word).  Each feature is
 hashed to a bucket; a bucket has a learned vector; a document is the mean of its features' vectors.
 
-Training happens on the driver on a bounded sample: at most ``max_rows`` labelled rows, chosen by a hash of their id, and
-of these as many as ``max_chars`` characters hold.  Texts are never cut.  The sample, its order and the start values are
-fixed, so the same tables give the same model.
+Training happens on the driver on a bounded sample: at most ``max_rows`` labelled rows, chosen by a hash of their id.
+Executors count the features of their texts, so that no text goes to the driver; counts are taken in the order of the hash
+as long as they fit in ``max_features`` (distinct buckets of a text, 6 bytes each).  A row that doesn't fit is left out and the next one is looked at, so
+one long text costs itself alone.  Texts are never cut.  The sample, its order and the start values are fixed, so the same
+tables give the same model.
 
 Scoring is linear once vectors are averaged, so executors get one number per bucket (vector times the difference of the
 two classes' output weights): ``2 ** bits`` floats, a fixed size.  Whole texts are scored, Arrow batch by Arrow batch.
@@ -14,11 +16,13 @@ two classes' output weights): ``2 ** bits`` floats, a fixed size.  Whole texts a
 Defined cases: null and empty texts have no features and get the score of the bias alone; labels that are null or not 0
 or 1, and labelled rows without a document, are no training rows; repeated rows each get their score; without any
 training row, or with one class only, every score is the share of label 1 among them (0.5 without any); further columns
-are ignored; an empty table gives an empty result.
+are ignored; an empty table gives an empty result; a text of any length is scored whole, in pieces that end between words
+(a word above that size alone); of labelled ids with several documents each is a row, in order of their features.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,16 +31,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, written
 from .hashing import MIX1, MIX2, STEP, mix, places, powers, word_bounds
 
 BITS, DIM, MIN_N, MAX_N = 18, 8, 3, 5
 #: Small samples are gone through more often: at least STEPS batches are taken.
 EPOCHS, STEPS, BATCH, RATE = 8, 1_200, 32, 0.5
-MAX_ROWS, MAX_CHARS = 3_000, 10_000_000
+#: Bounds of the sample: labelled rows, and distinct features of their texts, summed over the rows.
+MAX_ROWS, MAX_FEATURES = 6_000, 40_000_000
 THRESHOLD = 0.3
 #: Characters that are worked on at a time.
 SLICE_CHARS = 300_000
+SPACES = " \t\n\x0b\x0c\r"
+SPACE = re.compile(f"[{SPACES}]")
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learned from: crc32 of the id as text is divisible by 5.  A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -100,13 +109,41 @@ class QualityModel:
         return (self.vectors @ (self.output[:, 1] - self.output[:, 0])).astype(np.float32), float(self.bias[1] - self.bias[0])
 
 
-def fit(rows: Iterator[tuple[str, int]], bits: int = BITS, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> QualityModel:
-    """Stochastic gradient descent over batches of documents; the rate falls linearly to zero."""
+def parts(text: str, bits: int = BITS) -> Iterator[tuple[np.ndarray, int]]:
+    """(buckets, sign) of which the sum is a text's features.  A long text is gone through in pieces of whole words: a piece
+    begins with the last word before it, for the pair across the border, and that word's own features are taken off again."""
+    at, last = 0, ""
+    while at < len(text) or not at:
+        end = at + SLICE_CHARS
+        space = SPACE.search(text, end)
+        end = space.start() if space else len(text)
+        piece = text[at:end]
+        yield feature_runs([f"{last} {piece}"], bits)[0], 1
+        if last:
+            yield feature_runs([last], bits)[0], -1
+        whole = piece.rstrip(SPACES)
+        last = whole[max(whole.rfind(c) for c in SPACES) + 1 :] or last
+        if end >= len(text):
+            break
+        at = end
+
+
+def counted(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text's features, ascending, and how often each occurs."""
+    if len(text) <= SLICE_CHARS:
+        return np.unique(feature_runs([text], bits)[0], return_counts=True)
+    total = np.zeros(1 << bits, np.int64)
+    for buckets, sign in parts(text, bits):
+        total += sign * np.bincount(buckets, minlength=1 << bits)
+    at = np.flatnonzero(total)
+    return at, total[at]
+
+
+def fit(rows: Iterator[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> QualityModel:
+    """Stochastic gradient descent over batches of documents (buckets, counts, label); the rate falls linearly to zero."""
     docs, labels = [], []
-    for text, label in rows:
-        every, _ = feature_runs([text or ""], bits)
-        at, n = np.unique(every, return_counts=True)
-        docs.append((at.astype(np.int32), (n / max(1, len(every))).astype(np.float32)))
+    for at, n, label in rows:
+        docs.append((at, n, max(1, int(n.sum(dtype=np.int64)))))
         labels.append(int(label))
     y = np.array(labels, np.int64)
     rng = np.random.default_rng(seed)
@@ -117,6 +154,7 @@ def fit(rows: Iterator[tuple[str, int]], bits: int = BITS, dim: int = DIM, epoch
     a_round = -(-len(docs) // BATCH)
     epochs, step = max(epochs, -(-STEPS // a_round)), 0
     steps = epochs * a_round
+    present, place = np.zeros(1 << bits, bool), np.zeros(1 << bits, np.int64)
     for _ in range(epochs):
         order = rng.permutation(len(docs))
         for i in range(0, len(docs), BATCH):
@@ -124,11 +162,14 @@ def fit(rows: Iterator[tuple[str, int]], bits: int = BITS, dim: int = DIM, epoch
             sizes = [len(docs[k][0]) for k in part]
             if not sum(sizes):
                 continue
-            at, share = np.concatenate([docs[k][0] for k in part]), np.concatenate([docs[k][1] for k in part])
+            at = np.concatenate([docs[k][0] for k in part])
+            share = np.concatenate([docs[k][1] / docs[k][2] for k in part])
             row = np.repeat(np.arange(len(part)), sizes)
-            used, local = np.unique(at, return_inverse=True)
-            own = vectors[used]
-            per_class = own @ output
+            present[at] = True
+            used = np.flatnonzero(present)
+            present[used], place[used] = False, np.arange(len(used))
+            local, own = place[at], vectors[used]
+            per_class = (own @ output).astype(np.float64)
             logits = np.stack([np.bincount(row, share * per_class[local, c], len(part)) for c in (0, 1)], 1) + bias
             p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
@@ -138,30 +179,62 @@ def fit(rows: Iterator[tuple[str, int]], bits: int = BITS, dim: int = DIM, epoch
             step += 1
             # Gradient of a bucket: for each class the sum over documents of error times the bucket's share of the document.
             g = np.stack([np.bincount(local, share * p[row, c], len(used)) for c in (0, 1)], 1).astype(np.float32)
-            vectors[used] -= lr * (g @ output.T) * 8
-            output -= lr * (own.T @ g)
+            vectors[used] = own - np.float32(8 * lr) * (g @ output.T)
+            output -= np.float32(lr) * (own.T @ g)
             bias -= lr * p.sum(0).astype(np.float32)
     return QualityModel(vectors, output, bias, bits)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
-    """(text, label) of the sample: at most ``max_rows`` labelled rows that aren't held out, in order of a hash of their id."""
+    """(o, label, h, text) of the labelled rows that may be in the sample: different texts of the first ``max_rows`` labelled
+    ids that aren't held out, in order of a hash of the id."""
     chosen = (
         labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .select("doc_id", F.col(label_col).cast("int").alias("label"), F.xxhash64("doc_id").alias("o"))
+        .distinct()
         .orderBy("o", "label")
         .limit(max_rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("o", "text", "label")
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return found.select("o", "label", F.xxhash64("text").alias("h"), "text").dropDuplicates(["o", "label", "h"])
+
+
+def _counter(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                at, n = counted(text, bits)
+                n = n.astype(np.uint16 if not len(n) or n.max() < 1 << 16 else np.uint32)
+                own = [batch.column(c).slice(k, 1) for c in ("o", "label", "h")]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array([len(at)], pa.int64()), pa.array([at.astype(np.uint32).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], names=["o", "label", "h", "size", "buckets", "counts"]
+                )
+
+    return run
+
+
+def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(buckets, counts, label) of the training sample, in order."""
+    small_batches(docs.sparkSession, 200)
+    rows = written(training_rows(docs, labels, label_col, max_rows).mapInArrow(_counter(BITS), "o bigint, label int, h bigint, size bigint, buckets binary, counts binary"))
+    names, left = [], max_features
+    for r in rows.select("o", "label", "h", "size").orderBy("o", "label", "h").limit(max_rows).collect():
+        if r["size"] <= left:
+            left -= r["size"]
+            names.append((r["o"], r["label"], r["h"]))
+    accepted, found = set(names), {}
+    for r in rows.toLocalIterator(prefetchPartitions=False):
+        key = (r["o"], r["label"], r["h"])
+        if key in accepted:
+            at = np.frombuffer(r["buckets"], np.uint32)
+            found[key] = at, np.frombuffer(r["counts"], np.uint16 if len(r["counts"]) == 2 * len(at) else np.uint32)
+    for name in names:
+        at, n = found.pop(name)
+        yield at, n, name[1]
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> QualityModel:
-    rows, left = [], max_chars
-    for r in sorted(training_rows(docs, labels, label_col, max_rows).collect(), key=lambda r: (r["o"], r["label"], r["text"] or "")):
-        left -= len(r["text"] or "")
-        if left >= 0:
-            rows.append((r["text"], r["label"]))
-    return fit(iter(rows))
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> QualityModel:
+    return fit(sample(docs, labels, label_col, max_rows, max_features))
 
 
 def logits(texts: list[str], add: np.ndarray, bias: float, bits: int = BITS) -> np.ndarray:
@@ -169,6 +242,13 @@ def logits(texts: list[str], add: np.ndarray, bias: float, bits: int = BITS) ->
     i = 0
     while i < len(texts):  # slices of bounded size; a longer text alone
         j, size = i + 1, len(texts[i])
+        if size > SLICE_CHARS:
+            total = n = 0
+            for buckets, sign in parts(texts[i], bits):
+                total, n = total + sign * float(add[buckets].sum(dtype=np.float64)), n + sign * len(buckets)
+            out[i] += total / max(1, n)
+            i = j
+            continue
         while j < len(texts) and size + len(texts[j]) <= SLICE_CHARS:
             size += len(texts[j])
             j += 1

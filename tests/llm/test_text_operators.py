@@ -243,6 +243,101 @@ def test_quality_cases(spark):
     assert again == scores
 
 
+M64 = (1 << 64) - 1
+STEP, MIX1, MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+
+
+def mixed(x):
+    x = ((x ^ (x >> 30)) * MIX1) & M64
+    x = ((x ^ (x >> 27)) * MIX2) & M64
+    return x ^ (x >> 31)
+
+
+def plain_features(text, bits=quality.BITS):
+    """Buckets of the words, of the 3- to 5-grams of each word between < and >, and of neighbouring words, one by one."""
+    out, words = [], []
+    for w in re.findall(r"[^ \t-\r]+", text):
+        own = [mixed(((ord(c) + 1) * STEP) & M64) for c in f"<{w}>"]
+        closed = [*own, mixed(STEP)]  # a word is hashed with the gap after it
+        words.append(mixed(sum(x * pow(STEP, k, 1 << 64) for k, x in enumerate(closed)) & M64))
+        for n in range(3, 6):
+            out += [mixed((sum(x * pow(MIX2, k, 1 << 64) for k, x in enumerate(own[i : i + n])) + n) & M64) for i in range(len(own) - n + 1)]
+    out += [mixed(STEP if a == b else (a * MIX1 + b * MIX2) & M64) for a, b in zip(words, words[1:])] + words
+    return sorted(x >> (64 - bits) for x in out)
+
+
+def test_quality_features_and_scores_as_brute_force(spark, docs, monkeypatch):
+    texts = [t or "" for t in list(docs.values())[:25]] + ["", " \n", "a", "a a a", "é👨 <b> x\x0by", "one  two"]
+    for t in texts:
+        at, n = quality.counted(t)
+        assert np.repeat(at, n).tolist() == plain_features(t)
+    rng = np.random.default_rng(1)
+    model = quality.QualityModel(rng.normal(size=(1 << quality.BITS, 4)).astype(np.float32), rng.normal(size=(4, 2)).astype(np.float32), np.array([0.1, -0.2], np.float32))
+
+    def one(text):
+        own = plain_features(text)
+        mean = sum(model.vectors[b].astype(float) for b in own) / len(own) if own else np.zeros(4)
+        e = np.exp(mean @ model.output + model.bias)
+        return e[1] / e.sum()
+
+    df = spark.createDataFrame(list(enumerate(texts)), DOC)
+    want = {i: one(t) for i, t in enumerate(texts)}
+    for size in (quality.SLICE_CHARS, 40):  # the second in pieces
+        monkeypatch.setattr(quality, "SLICE_CHARS", size)
+        for t in texts:
+            at, n = quality.counted(t)
+            assert np.repeat(at, n).tolist() == plain_features(t)
+        got = quality.logits(texts, *model.folded())
+        assert np.allclose(1 / (1 + np.exp(-got)), [want[i] for i in range(len(texts))], atol=1e-5)
+    got = {r["doc_id"]: r["score"] for r in quality.score(df, model).collect()}
+    assert all(abs(got[i] - want[i]) < 1e-5 for i in want)
+
+
+def test_quality_training_as_brute_force():
+    texts = [("good words here", 1), ("bad bad junk", 0), ("good text", 1), ("junk!! and bad", 0), ("", 1)] * 9
+    rows = [(*quality.counted(t), y) for t, y in texts]
+    model = quality.fit(iter(rows), dim=3, epochs=1, seed=3)
+    # The same descent over whole arrays, document by document.
+    rng = np.random.default_rng(3)
+    vectors = ((rng.random((1 << quality.BITS, 3)) - 0.5) / 3).astype(np.float32).astype(float)
+    output, bias, step, n = np.zeros((3, 2)), np.zeros(2), 0, len(texts)
+    a_round = -(-n // quality.BATCH)
+    steps = -(-quality.STEPS // a_round) * a_round
+    while step < steps:
+        order = rng.permutation(n)
+        for i in range(0, n, quality.BATCH):
+            lr, own, errors = quality.RATE * (1 - step / steps), [], []
+            for k in order[i : i + quality.BATCH]:
+                f = plain_features(texts[k][0])
+                mean = vectors[f].mean(0) if f else np.zeros(3)
+                e = np.exp(mean @ output + bias)
+                errors.append((e / e.sum() - np.eye(2)[texts[k][1]]) / 8)
+                own.append((f, mean))
+            new = vectors
+            change = [(f, 8 * lr * (x @ output.T) / max(1, len(f))) for (f, _), x in zip(own, errors)]
+            output = output - lr * sum(np.outer(mean, x) for (_, mean), x in zip(own, errors))
+            for f, c in change:
+                np.subtract.at(new, f, c)
+            vectors, bias, step = new, bias - lr * sum(errors), step + 1
+    assert np.allclose(model.output, output, atol=5e-3) and np.allclose(model.bias, bias, atol=5e-3)
+    used = sorted({b for t, _ in texts for b in plain_features(t)})
+    assert np.allclose(model.vectors[used], vectors[used], atol=2e-2)
+
+
+def test_a_giant_text_costs_itself_alone(spark):
+    giant = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(i, giant if i == 7 else "good text of words" if i % 2 else "junk!! junk!! bad") for i in range(60)] + [(5, "good text of words"), (5, "good other words")]
+    docs = spark.createDataFrame(rows, DOC)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    model = quality.train(docs, labels, max_features=5_000)
+    scores = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert scores[9] > 0.9 and scores[8] < 0.1
+    used = list(quality.sample(docs, labels, max_rows=20))
+    assert len(used) == 20 and {y for *_, y in used} == {0, 1}
+    order = [(r["o"], r["label"], r["h"]) for r in quality.training_rows(docs, labels).collect()]
+    assert len(order) == len(set(order)) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60)) + (zlib.crc32(b"5") % 5 != 0)
+
+
 # --- decontamination --------------------------------------------------------------------------------------------------
 
 ITEM = "Alice has 12 apples and gives 5 apples to her friend Bob Smith who then eats 2 kg of bread and 12 more apples."
