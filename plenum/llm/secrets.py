@@ -8,12 +8,14 @@ code points: the lengths of the pieces between the matches and of the matches ad
 
 The models: for each class of the labelled sample, counts of a character after a character with ``SMOOTHING`` added.
 Base spans are taken out of the runs of token characters; a part of 20 or more that is left is a ``markov`` span if the
-log-likelihood ratio of the two models over its characters is ``margin`` nats or more.  If it is not, its segments of
-the highest ratio are taken, each widened to the next of ``/ = _ -``: those of ``margin`` or more, and of 20 characters or
-more once widened, are spans.  So ordinary text around a secret does not hide it.
+log-likelihood ratio of the two models over its characters is ``margin`` nats or more, and ``rate`` nats a character or
+more, so that long names don't add up to a secret.  If it is not, its segments of the highest ratio are taken, each widened
+to the next of ``/ = _ -``: those of ``margin`` and ``rate`` or more, and of 20 characters or more once widened, are spans.
+So ordinary text around a secret does not hide it.
 
 Defined cases: a null text is empty; an empty text has no spans; repeated rows each get their result; further columns
-are ignored; an empty table gives an empty result; a text of any length is scanned whole.
+are ignored; an empty table gives an empty result; a text of any length is scanned whole; spans that tie in their start are
+in order of their kind; a sample without rows gives ratios of zero, so no spans are added.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import LOWER, UPPER, text_or_empty
 
 # The base patterns (letters of the first in either case), in order of their kind.
 ASSIGN = (
@@ -38,7 +40,7 @@ KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 SMOOTHING = 0.5
-MARGIN = 12.0
+MARGIN, RATE = 12.0, 0.5
 SAMPLE_ROWS = 20_000
 
 # Words of which the ordinary identifiers of the built-in sample are put together.
@@ -55,21 +57,59 @@ _SPAN = "array<struct<s:int,k:int,e:int>>"
 _PART = "array<struct<s:int,e:int>>"
 
 
+def _pick(values: list[str], *salt) -> Column:
+    """One of the values, by a hash of the row's id and the salt."""
+    place = F.pmod(F.xxhash64("id", *(x if isinstance(x, Column) else F.lit(x) for x in salt)), F.lit(len(values)))
+    return F.element_at(F.split(F.lit(" ".join(values)), " "), (place + 1).cast("int"))
+
+
+def _word(j: Column) -> Column:
+    """A word, a made-up word (consonants, pairs of them too, and vowels in turn) or a row of any letters."""
+    onsets = "b c d f g h j k l m n p q r s t v w x y z ch sh th wl ll gw yn rw ng str schw tt ss rn nt cz".split()
+    vowels = "a e i o u y a e i o ou ei au ie".split()
+    steps = F.sequence(F.lit(0), F.lit(4))
+    made = F.array_join(F.transform(steps, lambda k: F.when(k % 2 == 0, _pick(onsets, j, k)).otherwise(_pick(vowels, j, k))), "")
+    letters = F.array_join(F.transform(steps, lambda k: _pick(list(LOWER), "l", j, k)), "")
+    kind = F.pmod(F.xxhash64("id", F.lit("w"), j), F.lit(10))
+    return F.when(kind < 6, _pick([w for w in WORDS if w.isascii()], j)).when(kind < 9, made).otherwise(letters)
+
+
 def labelled_sample(spark: SparkSession, rows: int = SAMPLE_ROWS, start: int = 0) -> DataFrame:
-    """``(sample, random)``: strings from digests (hexadecimal, base64, capitals and digits) and identifiers from words."""
-    ids = spark.range(start, start + rows)
-    pick = lambda j: F.element_at(F.split(F.lit(" ".join(w for w in WORDS if w.isascii())), " "), (F.pmod(F.xxhash64("id", F.lit(j)), F.lit(sum(w.isascii() for w in WORDS))) + 1).cast("int"))
+    """``(sample, random)``: random strings (base64, letters and digits, capitals and digits), and ordinary identifiers.
+
+    The identifiers are words, made-up words and rows of any letters, in small letters, capitals or both, joined in the usual
+    ways; numbers, dates, versions, UUIDs, hexadecimal ids (those that are secrets are base spans) and rulers of one mark.
+    """
     digest = F.sha2(F.col("id").cast("string"), 256)
-    b64 = F.translate(F.base64(F.unhex(digest)), "=", "")
-    random = F.when(F.col("id") % 4 == 0, F.substring(digest, 1, 40)).when(F.col("id") % 4 == 1, F.upper(F.conv(F.substring(digest, 1, 15), 16, 36))).otherwise(b64)
-    w = [pick(j) for j in range(4)]
-    plain = (
-        F.when(F.col("id") % 4 == 0, F.concat(w[0], *[F.initcap(x) for x in w[1:]]))
-        .when(F.col("id") % 4 == 1, F.concat_ws("_", *w))
-        .when(F.col("id") % 4 == 2, F.concat(*w))
-        .otherwise(F.concat_ws("/", *w, (F.col("id") % 100).cast("string")))
+    number = lambda j, n: F.lpad(F.pmod(F.xxhash64("id", F.lit(j)), F.lit(10**n)).cast("string"), n, "0")
+    date = F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), F.pmod(F.xxhash64("id", F.lit("d")), F.lit(20_000)).cast("int")), "yyyy-MM-dd")
+    made = spark.range(start, start + rows).select(
+        "id",
+        F.translate(F.base64(F.unhex(F.concat(digest, F.sha2(F.concat(digest, F.lit("x")), 256)))), "=", "").alias("b64"),
+        F.transform(F.sequence(F.lit(0), F.lit(4)), _word).alias("w"),
+        date.alias("date"),
+        F.md5(digest).alias("hex"),
+    )
+    b64 = F.col("b64")
+    random = (
+        F.when(F.col("id") % 4 == 0, F.substring(F.regexp_replace(b64, "[+/]", ""), 1, 40))
+        .when(F.col("id") % 4 == 1, F.substring(F.regexp_replace(F.upper(b64), "[+/]", ""), 1, 32))
+        .when(F.col("id") % 4 == 2, F.substring(F.translate(b64, "+/", "-_"), 1, 43))
+        .otherwise(F.substring(b64, 1, 40))
     )
-    return ids.select(random.alias("sample"), F.lit(True).alias("random")).unionAll(ids.select(plain, F.lit(False)))
+    joined = lambda mark: F.array_join("w", mark)
+    titled = F.transform("w", F.initcap)
+    day, first, second = F.replace("date", F.lit("-"), F.lit("")), F.get("w", F.lit(0)), F.get("w", F.lit(1))
+    uuid = F.concat_ws("-", *(F.substring("hex", a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    styles = [
+        F.concat(first, F.array_join(F.slice(titled, 2, 4), "")), F.array_join(titled, ""), joined("_"), joined("-"), joined("/"), joined("."), joined(""),
+        F.upper(joined("_")), F.upper(joined("-")), F.upper(joined("")), F.array_join(titled, "-"), F.concat_ws("_", first, second, number("a", 3)), F.concat_ws("-", F.upper(first), F.upper(second), number("b", 4)),
+        F.concat(F.initcap(first), F.upper(second), F.initcap(F.get("w", F.lit(2))), number("c", 2)), F.concat_ws("-", day, day, number("e", 4)), F.concat_ws("_", day, number("f", 6), first), F.concat_ws("/", "date", first, number("g", 5)),
+        F.concat(F.lit("/"), joined("/"), F.lit("/"), "date"), uuid, F.upper(uuid), uuid, F.substring("hex", 1, 20), F.concat(number("h", 12), number("i", 12)), F.concat_ws("-", *(number(f"n{k}", 4) for k in range(5))),
+        F.repeat(_pick(["=", "-", "_", "/", "+", "x", "A", "0"], "r"), 30), F.substring(F.lit(LOWER + "0123456789" + UPPER + LOWER), (F.lit(1) + F.col("id") % 40).cast("int"), F.lit(36)),
+    ]
+    plain = F.element_at(F.array(*styles), (F.pmod(F.col("id"), F.lit(len(styles))) + 1).cast("int"))
+    return made.select(F.explode(F.array(F.struct(random.alias("sample"), F.lit(True).alias("random")), F.struct(plain.alias("sample"), F.lit(False).alias("random")))).alias("x")).select("x.*")
 
 
 def train(sample: DataFrame) -> list[float]:
@@ -112,8 +152,13 @@ def likelihood_ratio(c: Column, ratio: list[float]) -> Column:
     return _sum(_scores(c, ratio))
 
 
-def _segments(scores: Column, margin: float) -> Column:
-    """(s, e) of the segments with a sum of ``margin`` or more: each ends at its highest sum, once the sum has fallen by ``margin``."""
+def _segments(scores: Column, margin: float, rate: float) -> Column:
+    """(s, e) of the segments with a sum of ``margin`` or more and a mean of ``rate`` or more: each ends at its highest sum, once
+    the sum has fallen by ``margin``."""
+
+    def ended(a: Column, closes: Column) -> Column:
+        good = closes & (a["peak"] >= rate * (a["e"] - a["s"]))
+        return F.when(good, F.concat(a["out"], F.array(F.struct(a["s"].alias("s"), a["e"].alias("e"))))).otherwise(a["out"])
 
     def step(a: Column, x: Column) -> Column:
         now, t = a["i"] + 1, a["sum"] + x
@@ -131,17 +176,16 @@ def _segments(scores: Column, margin: float) -> Column:
             F.when(closed | sunk | risen, now).otherwise(a["e"]).alias("e"),
             F.when(closed | sunk | risen, 0.0).otherwise(later).alias("later"),
             F.when(closed | sunk | risen, now).otherwise(later_s).alias("later_s"),
-            F.when(closed, F.concat(a["out"], F.array(F.struct(a["s"].alias("s"), a["e"].alias("e"))))).otherwise(a["out"]).alias("out"),
+            ended(a, closed).alias("out"),
         )
 
     zero = lambda n: F.lit(0).alias(n)
     none = lambda n: F.lit(0.0).alias(n)
     first = F.struct(zero("i"), none("sum"), zero("s"), none("peak"), zero("e"), none("later"), zero("later_s"), F.array().cast(_PART).alias("out"))
-    last = lambda a: F.when(a["peak"] >= margin, F.concat(a["out"], F.array(F.struct(a["s"].alias("s"), a["e"].alias("e"))))).otherwise(a["out"])
-    return F.aggregate(scores, first, step, last)
+    return F.aggregate(scores, first, step, lambda a: ended(a, a["peak"] >= margin))
 
 
-def _random_parts(run: Column, ratio: list[float], margin: float) -> Column:
+def _random_parts(run: Column, ratio: list[float], margin: float, rate: float) -> Column:
     """(s, e) of what is random in a run: all of it, or its segments widened to the marks around them, those that overlap as one."""
 
     def widened(cut: Column, x: Column) -> Column:
@@ -158,10 +202,10 @@ def _random_parts(run: Column, ratio: list[float], margin: float) -> Column:
         return F.when(joins, F.concat(F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.array(one))).otherwise(F.concat(a, F.array(x)))
 
     def of(scores: Column) -> Column:
-        wide = _let(F.translate(run, "=_-", "///"), lambda cut: F.transform(_segments(scores, margin), lambda x: widened(cut, x)))
+        wide = _let(F.translate(run, "=_-", "///"), lambda cut: F.transform(_segments(scores, margin, rate), lambda x: widened(cut, x)))
         parts = F.filter(F.aggregate(wide, F.array().cast(_PART), merged), lambda x: x["e"] - x["s"] >= RUN_CHARS)
         whole = F.array(F.struct(F.lit(0).alias("s"), F.length(run).alias("e")))
-        return F.when(_sum(scores) >= margin, whole).otherwise(parts)
+        return F.when(_sum(scores) >= F.greatest(F.lit(margin), rate * F.length(run)), whole).otherwise(parts)
 
     return _let(_scores(run, ratio), of)
 
@@ -202,7 +246,7 @@ def _where_found(text: Column, probe: str, spans: Column) -> Column:
     return F.when(F.rlike(text, F.lit(probe)), spans).otherwise(F.array().cast(_SPAN))
 
 
-def with_spans(docs: DataFrame, ratio: list[float], text_col: str = "text", margin: float = MARGIN, names: tuple[str, str] = ("base", "added")) -> DataFrame:
+def with_spans(docs: DataFrame, ratio: list[float], text_col: str = "text", margin: float = MARGIN, names: tuple[str, str] = ("base", "added"), rate: float = RATE) -> DataFrame:
     """``docs`` with two arrays of (s, k, e), start, index in KINDS and end, in order: the base spans and those added."""
     text, (base, added) = text_or_empty(text_col), names
     found = F.array_sort(
@@ -216,7 +260,7 @@ def with_spans(docs: DataFrame, ratio: list[float], text_col: str = "text", marg
 
     def parts(m: Column, start: Column, end: Column) -> Column:
         free = _outside(start, end, F.col(base))
-        inner = lambda p: F.transform(_random_parts(F.substring(m, p["s"] + 1, p["e"] - p["s"]), ratio, margin), lambda x: F.struct((p["s"] + x["s"]).alias("s"), (p["s"] + x["e"]).alias("e")))
+        inner = lambda p: F.transform(_random_parts(F.substring(m, p["s"] + 1, p["e"] - p["s"]), ratio, margin, rate), lambda x: F.struct((p["s"] + x["s"]).alias("s"), (p["s"] + x["e"]).alias("e")))
         return F.flatten(F.transform(free, inner))
 
     return docs.withColumn(base, found).withColumn(added, _where_found(text, RUN, _matches(text, RUN, 3, parts)))
