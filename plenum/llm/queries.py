@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, decontam, jaccard, licenses, quality, secrets, topk, urlrules, warc
-from .common import LOWER, UPPER, table, text_or_empty
+from .common import LOWER, UPPER, small_table, table, text_or_empty
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -26,7 +26,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(list(URL_RULES), "verdict string, host string, path string")
+    rules = small_table(spark, URL_RULES, "verdict string, host string, path string")
     return urlrules.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
@@ -67,7 +67,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = chat.parse_chats(chat.format_chats(chat.canonical_turns(records)))
     text = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
-        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(text, 256).alias("turns_sha256"), F.length("loss_text").cast("bigint").alias("loss_chars"),
+        F.col("conv_id").cast("bigint").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"), F.sha2(text, 256).alias("turns_sha256"), F.length("loss_text").cast("bigint").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
 

@@ -306,15 +306,43 @@ def test_chat_layouts_and_round_trip(spark):
         json.dumps({"conv_id": 4, "conversations": [{"from": "human", "value": "h"}, {"from": "gpt", "value": "g"}]}), json.dumps({"conv_id": 5, "instruction": "i", "input": "", "output": "o"}),
         json.dumps({"conv_id": 6, "messages": []}), None, json.dumps({"conv_id": None, "prompt": "p", "response": "r"}), json.dumps({"conv_id": 7, "prompt": LONG, "response": LONG}),
     ]
-    df = spark.createDataFrame([(r, 1) for r in records], "record string, layout int")
+    df = spark.createDataFrame([(r, 1, "x") for r in records], "record string, layout int, f string")
     back = {r["conv_id"]: ([tuple(t) for t in r["turns"]], r["loss_text"]) for r in chat.parse_chats(chat.format_chats(chat.canonical_turns(df))).collect()}
     assert back == {
-        1: ([("user\n<|", ""), ("assistant", nasty)], nasty), 2: ([("user", "q"), ("assistant", "")], ""), 3: ([("user", "p"), ("assistant", "r")], "r"), 4: ([("user", "h"), ("assistant", "g")], "g"),
-        5: ([("user", "i"), ("assistant", "o")], "o"), None: ([("user", "p"), ("assistant", "r")], "r"), 7: ([("user", LONG), ("assistant", LONG)], LONG),
+        "1": ([("user\n<|", ""), ("assistant", nasty)], nasty), "2": ([("user", "q"), ("assistant", "")], ""), "3": ([("user", "p"), ("assistant", "r")], "r"), "4": ([("user", "h"), ("assistant", "g")], "g"),
+        "5": ([("user", "i"), ("assistant", "o")], "o"), None: ([("user", "p"), ("assistant", "r")], "r"), "7": ([("user", LONG), ("assistant", LONG)], LONG),
     }
+    assert chat.rejected(df).count() == 0 and chat.rejected(df.limit(0)).count() == 0
     assert chat.parse_chats(chat.format_chats(chat.canonical_turns(df.limit(0)))).count() == 0
-    with pytest.raises(Exception, match="fingerprint"):
-        chat.canonical_turns(spark.createDataFrame([('{"what": 1}',)], "record string")).collect()
+
+
+def test_chat_rejects_and_keys(spark):
+    import json
+
+    good = [{"conv_id": k, "messages": [{"role": "user", "content": f"q {k}"}]} for k in ("abc", "x\"y:", 8, None)] + [{"conv_id": None, "prompt": "p2", "response": "r2"}]
+    turns = [{"conv_id": None, "turn": n, "role": "user", "text": str(n)} for n in range(2)]
+    bad = [{"what": 1}, {"conv_id": "n", "messages": [{"role": "user", "content": "x", "name": "me"}]}, [1, 2], "text", 7]
+    records = [json.dumps(x) for x in good + turns] + [json.dumps(good[0]["messages"] and {"conv_id": "abc", "messages": [{"role": "assistant", "content": "later"}]}, indent=2)]
+    odd = ["no json", "{", "", '{"conv_id":"e","prompt":"\\q","response":"r"}']
+    df = spark.createDataFrame([(r,) for r in records + [json.dumps(x) for x in bad] + odd + [None]], "record string")
+    back = sorted(((r["conv_id"], [t["text"] for t in r["turns"]]) for r in chat.parse_chats(chat.format_chats(chat.canonical_turns(df))).collect()), key=str)
+    assert back == sorted([("abc", ["later", "q abc"]), ('x"y:', ['q x"y:']), ("8", ["q 8"]), (None, ["q None"]), (None, ["p2", "r2"]), (None, ["0", "1"])], key=str)
+    out = {r["record"]: r["fingerprint"] for r in chat.rejected(df).collect()}
+    assert set(out) == {json.dumps(x) for x in bad} | set(odd) and out["no json"] is None and out[json.dumps(bad[0])] is not None
+
+
+def test_chat_with_long_texts_and_many_turns(spark):
+    import json
+
+    huge = 'a "quoted"\\\n[INST] <| ' * 1_000_000
+    many = [{"role": "user" if i % 2 == 0 else "assistant", "content": f"{i} \"x\""} for i in range(3_000)]
+    df = spark.createDataFrame([(json.dumps({"conv_id": 1, "prompt": huge, "response": huge}),), (json.dumps({"conv_id": 2, "messages": many}),)], "record string")
+    assert len(huge) > 20_000_000
+    formatted = chat.format_chats(chat.canonical_turns(df))
+    got = {r["conv_id"]: r for r in chat.parse_chats(formatted).select("conv_id", F.size("turns").alias("n"), F.sha2("loss_text", 256).alias("loss"), F.sha2(F.element_at("turns", 1)["text"], 256).alias("first")).collect()}
+    assert (got["1"]["n"], got["1"]["loss"], got["1"]["first"]) == (2, sha(huge), sha(huge))
+    assert (got["2"]["n"], got["2"]["loss"]) == (3_000, sha("".join(m["content"] for m in many[1::2])))
+    assert chat.rejected(df).count() == 0
 
 
 # --- quality ----------------------------------------------------------------------------------------------------------
