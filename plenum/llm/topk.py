@@ -5,10 +5,12 @@ total score is the sum over the slices.  For a block of queries:
 
 1. each slice's best ``k`` + 1 local scores are gathered (a bounded list from each task, then from all tasks); the objects
    in them are scored exactly, and the k-th best total ``t`` is a safe cutoff: it is reached by k objects;
-2. ``t`` is broadcast, and every slice returns all entries with a local score of ``t / slices`` or more: an object below
-   that in every slice has a total below ``t``.  With the bound ``t / slices`` for slices that returned nothing, objects
-   whose upper bound is below ``t`` go;
-3. what is left is scored exactly and ranked.
+2. ``t`` is broadcast, and every task takes from each slice the entries with a local score of ``t / slices`` or more: an
+   object below that in every slice has a total below ``t``.  With the bound ``t / slices`` for slices without an entry,
+   objects whose upper bound is below ``t`` go;
+3. the scores that are missing for what is left are resolved exactly, in the same task, since a vector's slices lie in one
+   row.  A task sends on its ``k`` best objects a query (ties: the smaller id) at most, so what is shuffled is in proportion
+   to queries and tasks, not to objects.
 
 Equal vectors are one object with its ``k`` + 1 least ids, so a vector that a third of all rows repeat counts once and no
 tie is lost.  Queries are taken in blocks of ``BLOCK``, each broadcast (at most ``BLOCK`` vectors and cutoffs) and each
@@ -20,7 +22,7 @@ there), else in 64-bit integers.
 Defined cases: vectors that are null, or hold a null, NaN or infinite component, are neither queries nor candidates;
 shorter vectors count as padded with zeros, empty ones score 0; ids that repeat are one candidate each vector, and never
 a candidate of the query with that id; ties go to the smaller id; fewer candidates than ``k`` are all returned; null ids
-take no part; an empty table gives an empty result.
+take no part; further columns are ignored; vectors of any length are taken whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -106,19 +108,50 @@ def _totals(shared):
     return run
 
 
-def _sufficient(shared, cutoffs):
+class _Best:
+    """The best ``k`` objects of each query so far, by score and then the least id that may answer."""
+
+    def __init__(self, k: int):
+        self.k, self.q, self.total, self.least, self.ids = k, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), []
+
+    def add(self, q: np.ndarray, total: np.ndarray, least: np.ndarray, ids: list[list[int]]) -> None:
+        self.q, self.total, self.least = np.concatenate([self.q, q]), np.concatenate([self.total, total]), np.concatenate([self.least, least])
+        self.ids += ids
+        order = np.lexsort((self.least, -self.total, self.q))
+        q = self.q[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        kept = order[place < self.k]
+        self.q, self.total, self.least, self.ids = self.q[kept], self.total[kept], self.least[kept], [self.ids[i] for i in kept]
+
+
+def _answers(shared, cutoffs, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, cutoff = shared.value, cutoffs.value
+        block, cutoff, best = shared.value, cutoffs.value[:, None], _Best(k)
         for strip, local, other in block.parts(batches):
-            names = strip.column("object").to_numpy()
-            for j, scores in enumerate(local):
-                q, at = np.nonzero(other & (scores * len(local) >= cutoff[:, None]))
-                yield pa.RecordBatch.from_arrays([pa.array(q.astype(np.int32)), pa.array(names[at]), pa.array(scores[q, at].astype(np.int64))], names=["q", "object", "local"])
+            slices, ids = len(local), strip.column("ids").to_pylist()
+            entry = np.zeros(other.shape, bool)
+            for scores in local:
+                entry |= scores * slices >= cutoff
+            q, at = np.nonzero(other & entry)
+            parts = np.stack([scores[q, at] for scores in local])
+            t = cutoff[q, 0]
+            share = np.where(np.isfinite(t), t, 0.0) / slices
+            upper = np.where(parts * slices >= t, parts, share)
+            good = upper.sum(0) + 1e-9 * np.abs(upper).sum(0) + 1 >= t
+            q, at, t, total = q[good], at[good], t[good], parts[:, good].astype(np.int64).sum(0)
+            good = total >= t
+            q, at, total = q[good], at[good], total[good]
+            first = np.array([x[0] for x in ids], np.int64)
+            second = np.array([x[1] if len(x) > 1 else x[0] for x in ids], np.int64)
+            least = np.where(first[at] == block.ids[q], second[at], first[at])
+            best.add(q.astype(np.int64), total, least, [ids[i] for i in at.tolist()])
+        yield pa.RecordBatch.from_arrays([pa.array(best.q.astype(np.int32)), pa.array(block.ids[best.q]), pa.array(best.ids, pa.list_(pa.int64())), pa.array(best.total)], names=["q", "query_id", "ids", "total"])
 
     return run
 
 
-def _search_block(objects: DataFrame, block: _Block, k: int, slices: int) -> DataFrame:
+def _search_block(objects: DataFrame, block: _Block, k: int, path: str) -> None:
+    """Writes the answers of a block of queries."""
     context = objects.sparkSession.sparkContext
     shared = context.broadcast(block)
     scored = "q int, object bigint, ids array<bigint>, total bigint"
@@ -128,18 +161,16 @@ def _search_block(objects: DataFrame, block: _Block, k: int, slices: int) -> Dat
     ranked = seen.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("total")))).where(F.col("r") == k)
     cutoff = np.full(len(block.ids), -np.inf)
     for row in ranked.select("q", "total").collect():  # at most one number a query of the block
-        cutoff[row["q"]] = row["total"]
+        t = float(row["total"])
+        cutoff[row["q"]] = t if t <= row["total"] else np.nextafter(t, -np.inf)
     cutoffs = context.broadcast(cutoff)
-    entries = objects.select("object", "ids", "v").mapInArrow(_sufficient(shared, cutoffs), "q int, object bigint, local bigint")
-    table = F.broadcast(objects.sparkSession.createDataFrame([(i, float(c)) for i, c in enumerate(cutoff)], "q int, cutoff double"))
-    bounded = entries.groupBy("q", "object").agg(F.sum("local").alias("sum"), F.count("*").alias("n")).join(table, "q")
-    left = bounded.where((F.col("sum") * slices + F.coalesce((slices - F.col("n")) * F.col("cutoff"), F.lit(0.0)) >= slices * F.col("cutoff")) | (F.col("cutoff") == float("-inf")))
-    exact = left.select("q", "object").join(objects, "object").select("q", "object", "ids", "v").mapInArrow(_totals(shared), scored)
-    names = F.broadcast(objects.sparkSession.createDataFrame(list(enumerate(block.ids.tolist())), "q int, query_id bigint"))
-    # Of objects below the k-th total none can answer; what is left is expanded into its ids.
-    rows = exact.join(table, "q").where("total >= cutoff").join(names, "q").select("q", "query_id", F.explode("ids").alias("vec_id"), F.col("total").alias("score")).where("vec_id <> query_id")
+    found = objects.select("object", "ids", "v").mapInArrow(_answers(shared, cutoffs, k), "q int, query_id bigint, ids array<bigint>, total bigint")
+    # Answers are expanded into their ids: at most k + 1 of each.
+    rows = found.select("q", "query_id", F.explode("ids").alias("vec_id"), F.col("total").alias("score")).where("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
-    return rows.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rows.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score").write.parquet(path)
+    for b in (shared, cutoffs):
+        b.destroy()
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", slices: int = SLICES, block: int = BLOCK) -> DataFrame:
@@ -164,7 +195,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
         own = np.zeros((len(rows), width), np.int64)
         for i, r in enumerate(rows):
             own[i, : len(r)] = r
-        _search_block(objects, _Block(ids, own, slices, exact), k, slices).write.parquet(f"{root}/part={n}")
+        _search_block(objects, _Block(ids, own, slices, exact), k, f"{root}/part={n}")
         n, ids, rows = n + 1, [], []
 
     for row in clean.where(queries).toLocalIterator():

@@ -168,6 +168,21 @@ def test_topk_as_brute_force(spark, scale):
     assert got == brute_force_topk(rows)
 
 
+def test_topk_with_ties_and_what_tasks_send(spark):
+    """Every score of a query ties; a task sends on its best ``k`` objects a query and no more."""
+    rows = [(i, [0.0, 0.0]) if i in (0, 100) else (i, [float(i % 7), 1.0 + i]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(5)
+    assert {tuple(r) for r in topk.search(df, F.col("vec_id") % 100 == 0).collect()} == brute_force_topk(rows)
+    best = topk._Best(3)
+    rng = np.random.default_rng(0)
+    every = [(q, int(rng.integers(4)), i) for i in range(300) for q in range(5)]
+    for k in range(0, len(every), 100):
+        q, s, i = zip(*every[k : k + 100])
+        best.add(np.array(q), np.array(s), np.array(i), [[x] for x in i])
+        assert len(best.q) <= 15
+    assert sorted(zip(best.q.tolist(), (-best.total).tolist(), best.least.tolist())) == [x for q in range(5) for x in sorted((q, -s, i) for p, s, i in every if p == q)[:3]]
+
+
 def test_topk_cases(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id bigint, embedding array<float>")
     assert {tuple(r) for r in topk.search(df, F.col("vec_id") == 0).collect()} == {(0, 1, 1, 1024 * 2048)}
