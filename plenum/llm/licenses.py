@@ -12,7 +12,11 @@ are joined by shuffle.  Rows of documents are never shuffled with their text: on
 
 Defined cases: a null or empty text, or one without letters or digits, has a null digest and no licence; repeated rows
 each get the result of their id; further columns are ignored; an empty table gives an empty result; several licences in a document
-are all listed, in order of their id.
+are all listed, in order of their id; of licences with equal canonical forms the least id is named; texts of any length are
+looked up whole, line by line as well; a registry without rows finds nothing.
+
+Up to ``MAX_ANCHORS`` distinct longest words of the known forms, texts and lines without any of them are not put into
+canonical form a second time; beyond, all are: more work for the same result.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, text_or_empty
+from .common import ascii_lower, small_table, text_or_empty
 
 MAX_BROADCAST, MAX_ANCHORS = 50_000, 64
 
@@ -67,15 +71,23 @@ REGISTRY = (
 )
 
 
+# Fixed value: a line that claims a copyright, by its sign, a year or a place for one; other lines may begin with the word.
+COPYRIGHT = (
+    r"(?m)^[ \t]*((©|\(c\)[ \t]*[0-9]{4}|copyright[ \t:]*(©|\(c\)|[0-9]{4}|[\[<{]?(yyyy|year)[\]>}]?))[^\n]*"
+    r"|copyright[ \t]+(by[ \t]+)?the[ \t][^\n]*(authors|contributors|developers)\.?[ \t\r]*$)"
+)
+
+
 def canonical(c: Column) -> Column:
     """Canonical form of a text: words of a-z and 0-9 with single spaces; copyright lines are gone."""
     c = ascii_lower(c)
     marked = F.contains(c, F.lit("copyright")) | F.contains(c, F.lit("(c)")) | F.contains(c, F.lit("©"))
-    c = F.when(marked, F.regexp_replace(c, r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*", "\n")).otherwise(c)
-    c = F.concat(F.lit(" "), F.trim(F.regexp_replace(c, r"[^a-z0-9]+", " ")), F.lit(" "))
+    c = F.when(marked, F.regexp_replace(c, COPYRIGHT, "")).otherwise(c)
+    # Two blanks between words: each word has its own on both sides, so that neighbours are replaced as well.
+    c = F.concat(F.lit(" "), F.trim(F.regexp_replace(c, r"[^a-z0-9]+", "  ")), F.lit(" "))
     for a, b in SPELLINGS:
-        c = F.replace(c, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(c)
+        c = F.replace(c, F.lit(f" {a.replace(' ', '  ')} "), F.lit(f" {b.replace(' ', '  ')} "))
+    return F.trim(F.replace(c, F.lit("  "), F.lit(" ")))
 
 
 _SINGLE = [(a, b) for a, b in SPELLINGS if " " not in a + b]
@@ -129,13 +141,11 @@ def full_texts() -> list[tuple[str, str]]:
         end = re.match(r"(?s).*END OF TERMS AND CONDITIONS", text)
         terms = re.sub(r"\s*END OF TERMS AND CONDITIONS$", "", end[0]) if end else text
         found.extend((name, t) for t in dict.fromkeys((text, end[0] if end else text, terms)))
-    # A line that begins with the word is taken for a copyright line, so where lines end can matter.
-    joined = [(name, re.sub(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)", " ", t)) for name, t in found]
-    return list(dict.fromkeys(found + joined))
+    return list(dict.fromkeys(found))
 
 
 def registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([*REGISTRY, *full_texts()], "license_id string, text string")
+    return small_table(spark, [*REGISTRY, *full_texts()], "license_id string, text string")
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

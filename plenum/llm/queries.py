@@ -85,12 +85,17 @@ QUERIES = {
 
 
 def _license_sql() -> str:
+    """Words one by one, where the operator replaces within the text."""
+    phrases = [(a.split(), b.split()) for a, b in licenses.SPELLINGS]
+    single = "MAP {" + ", ".join(f"'{a[0]}': '{' '.join(b)}'" for a, b in phrases if len(a) == 1) + "}"
+
     def form(c: str) -> str:
-        c = f"regexp_replace(translate({c}, '{UPPER}', '{LOWER}'), '(^|\\n)[ \\t]*(copyright|\\(c\\)|©)[^\\n]*', chr(10), 'g')"
-        c = f"' ' || trim(regexp_replace({c}, '[^a-z0-9]+', ' ', 'g')) || ' '"
-        for a, b in licenses.SPELLINGS:
-            c = f"replace({c}, ' {a} ', ' {b} ')"
-        return f"trim(regexp_replace({c}, ' +', ' ', 'g'))"
+        c = f"regexp_replace(translate({c}, '{UPPER}', '{LOWER}'), '{licenses.COPYRIGHT}', '', 'g')"
+        c = f"' ' || array_to_string(list_transform(regexp_extract_all({c}, '[a-z0-9]+'), lambda w: coalesce({single}[w], w)), ' ') || ' '"
+        for a, b in phrases:
+            if len(a) > 1:
+                c = f"replace({c}, ' {' '.join(a)} ', ' {' '.join(b)} ')"
+        return f"trim({c})"
 
     known = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.REGISTRY)
     return f"""

@@ -250,6 +250,66 @@ def test_license_cases(spark):
     assert licenses.scan_licenses(df.limit(0), licenses.registry(spark)).count() == 0
 
 
+def plain_form(text):
+    """The canonical form, word by word."""
+    lines = []
+    for line in (text or "").translate(str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})).split("\n"):
+        own = line.lstrip(" \t")
+        rest = own.removeprefix("copyright").lstrip(" \t:") if own.startswith("copyright") else None
+        claims = own.startswith("©") or bool(re.match(r"\(c\)[ \t]*\d{4}", own, re.A))
+        if rest is not None:
+            claims |= rest.startswith(("©", "(c)")) or rest[:4].isdigit() or rest.lstrip("[<{").startswith(("yyyy", "year"))
+            words = own.split()
+            claims |= len(words) > 2 and words[1 if words[1] != "by" else 2] == "the" and words[-1].rstrip(".") in ("authors", "contributors", "developers")
+        lines.append("" if claims else line)
+    words = re.findall("[a-z0-9]+", "\n".join(lines))
+    for a, b in licenses.SPELLINGS:
+        old, out, i = a.split(), [], 0
+        while i < len(words):
+            hit = words[i : i + len(old)] == old
+            out += b.split() if hit else words[i : i + 1]
+            i += len(old) if hit else 1
+        words = out
+    return " ".join(words)
+
+
+def test_canonical_form_as_brute_force(spark, docs):
+    texts = [t for _, t in [*licenses.REGISTRY, *licenses.full_texts()]] + list(filter(None, docs.values()))[:60] + [
+        "licence licence x licenced v v. ver", "Copyright notice and this permission notice", "copyright (c) 2020 a\n(c) You must retain\n(C) 1999 b", "Copyright The Foo Authors.\nCopyright by the Bar contributors\r\nthe end",
+        "© x\n  Copyright: 2020, x\nCopyright [yyyy] [name]", "gnu gpl gnu gpl v3 cc-by-nc cc by nc", "copyright", "Copyright the rest is text",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), DOC).select("doc_id", licenses.canonical(F.col("text")).alias("f"))
+    assert {r["doc_id"]: r["f"] for r in df.collect()} == {i: plain_form(t) for i, t in enumerate(texts)}
+    again = df.select("doc_id", "f", licenses.canonical(F.col("f")).alias("g"))
+    assert again.where("f <> g AND f NOT LIKE '%copyright 2%'").count() == 0
+
+
+def test_official_line_breaks_and_scans_as_brute_force(spark, docs):
+    isc = (
+        "Copyright (c) 4-digit year, Company or Person's Name\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+        "copyright notice and this permission notice appear in all copies.\n\n"
+    )
+    body = next(t for n, t in licenses.full_texts() if n == "ISC")
+    disclaimer = body[body.index("THE SOFTWARE IS PROVIDED") :]
+    known = {plain_form(t): n for n, t in sorted([*licenses.REGISTRY, *licenses.full_texts()], reverse=True)}
+    mit = next(t for n, t in licenses.full_texts() if n == "MIT")
+    texts = [isc + disclaimer, "Copyright 2020 X\n\n" + " ".join(mit.split()), mit.replace(" ", "\n"), "\n".join(["a", mit, "b"]), *(t for _, t in licenses.full_texts())]
+    texts += [f"{t}\n{x}" for t, (_, x) in zip(list(filter(None, docs.values()))[:40], licenses.REGISTRY * 5)]
+    got = {r["doc_id"]: (r["text_license"], r["notice_licenses"]) for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), DOC), licenses.registry(spark)).collect()}
+    want = {i: (known.get(plain_form(t)), sorted({known[f] for line in t.split("\n") if (f := plain_form(line)) in known})) for i, t in enumerate(texts)}
+    assert got == want and got[0][0] == "ISC" and got[1][0] == got[2][0] == "MIT"
+
+
+def test_many_anchor_words(spark):
+    """Registries with more words to look for than MAX_ANCHORS give the same."""
+    rows = [(f"L{i}", f"licence number{chr(97 + i % 26)}{chr(97 + i // 26)} holds") for i in range(licenses.MAX_ANCHORS + 20)]
+    docs = spark.createDataFrame([(i, f"text\n{t.upper()}") for i, (_, t) in enumerate(rows)], DOC)
+    for n in (licenses.MAX_ANCHORS - 4, len(rows)):
+        got = {r["doc_id"]: r["notice_licenses"] for r in licenses.scan_licenses(docs, spark.createDataFrame(rows[:n], "license_id string, text string")).collect()}
+        assert got == {i: [f"L{i}"] if i < n else [] for i in range(len(rows))}
+    assert {len(r["notice_licenses"]) for r in licenses.scan_licenses(docs, spark.createDataFrame([], "license_id string, text string")).collect()} == {0}
+
+
 def test_full_license_texts(spark):
     from pathlib import Path
 
