@@ -1,21 +1,23 @@
 """URL filters by a sort-merge range join of reversed-host keys with nested rules, in DataFrame functions only.
 
 The labels of a host are reversed and each is closed by ``/``, which no host can hold: ``www.example.com`` becomes
-``com/example/www/``.  A rule's host key is then a prefix of the keys of its host and all subdomains, so that it covers
-one interval of the sorted keys, and the intervals of different rules are nested or disjoint.
+``com/example/www/``.  A rule's host key is then a prefix of the keys of its host and all subdomains.  A rule is an interval
+in two steps: of all keys that start with its host key, and among these of all paths that start with its path.  At each depth
+(number of labels) a url has one key that a rule's host key can equal, its own first labels; so at each depth rules and urls
+are sorted together by that key and the path, and intervals are nested or disjoint.
 
-Rules and urls are sorted together.  The sweep keeps the stack of the rules passed so far as one running value for each
-depth (number of labels): intervals of equal depth are disjoint, so the last one opened is the only one that can still be
-open, and it has been closed once the key no longer starts with its host key.  Of the open rules whose path the url's
-path starts with, the longest one decides (by host and path together, then by host).
+The sweep's stack of active rules is carried by the rule passed last: a rule brings the chain of rules of its host whose paths
+it starts with (found by a join of path prefixes, so a chain is as long as the nesting, not as the rules of a host).  Of the
+chain of the last rule with the url's key, those whose path the url's path starts with are the rules of that depth that fit.
+Over all depths the longest one decides (by host and path together, then by host).
 
-A sweep per salt runs on its own: urls are dealt evenly over ``salts`` by a hash of their id and key, whatever their
-host, and the rules are repeated for each salt.  So a hot host or domain never meets in one task.  The rules repeated are
-``rules x salts`` small rows; ``MAX_RULES`` bounds them.
+Sweeps run per salt: urls are dealt evenly over salts by a hash of their id and key, whatever their host, and the rules are
+repeated for each salt.  So a hot host or domain never meets in one task, and all depths share one shuffle.  Rules that would
+be more than ``REPEATED`` rows that way are dealt over fewer salts, with the same result.
 
 Defined cases: null or malformed urls have empty host and path and match nothing; repeated rows each get a verdict;
 of equal rules, block wins over allow; rules with a null or empty host or a path that does not start with ``/`` are
-refused; further columns are ignored; empty tables give empty results.
+refused; urls of any length are judged whole; further columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, shuffle_width
 
-MAX_RULES = 1_000_000
+REPEATED = 100_000_000
 
 
 def url_host(url: Column) -> Column:
@@ -52,39 +54,30 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     ).first()
     if size["bad"]:
         raise ValueError("a rule needs a verdict, a host and a path that starts with '/'")
-    if size["n"] > MAX_RULES:
-        raise ValueError(f"{size['n']} rules are more than {MAX_RULES}, the bound on what is repeated for each salt")
-    salts, depth = shuffle_width(spark), size["depth"] or 1
-    # One event opens all rules of a host; of equal rules 'block' is the greater string and stays.
-    events = (
-        clean.groupBy("host", "path")
-        .agg(F.max("verdict").alias("verdict"))
-        .groupBy("host")
-        .agg(F.collect_list(F.struct("path", "verdict", F.concat("host", "path").alias("rule"))).alias("rules"))
-        .select(
-            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
-            host_key(F.col("host")).alias("key"),
-            F.lit(0).alias("kind"),
-            F.size(F.split("host", r"\.")).alias("labels"),
-            "rules",
-        )
+    salts, depth = max(1, min(shuffle_width(spark), REPEATED // max(1, size["n"]))), size["depth"] or 1
+    # Of equal rules 'block' is the greater string and stays.
+    kept = clean.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    prefix = F.explode(F.transform(F.sequence(F.lit(1), F.length("path")), lambda n: F.substring("path", F.lit(1), n)))
+    within = kept.select("host", "path", prefix.alias("start")).join(kept.select("host", F.col("path").alias("start"), F.col("verdict").alias("v")), ["host", "start"])
+    chains = within.groupBy("host", "path").agg(F.array_sort(F.collect_list(F.struct(F.length("start").alias("n"), F.col("start").alias("path"), F.col("v").alias("verdict"), F.concat("host", "start").alias("rule")))).alias("chain"))
+    events = chains.select(
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), host_key(F.col("host")).alias("key"), F.col("path"), F.lit(0).alias("kind"), F.size(F.split("host", r"\.")).alias("labels"), "chain"
     )
     urls = pages.select(F.col(id_col).alias("page_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path")).select(
         F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(salts)).cast("int").alias("salt"), host_key(F.col("host")).alias("key"), F.lit(1).alias("kind"), "page_id", "host", "path"
     )
-    sweep = Window.partitionBy("salt").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opened = F.struct(F.col("key").alias("open"), "rules")
-    stack = [F.last(F.when((F.col("kind") == 0) & (F.col("labels") == d), opened), ignorenulls=True).over(sweep).alias(f"at{d}") for d in range(1, depth + 1)]
-    swept = events.unionByName(urls, allowMissingColumns=True).select("*", *stack).where("kind = 1")
-    none = F.array().cast("array<struct<path:string,verdict:string,rule:string>>")
-    open_rules = [F.when(F.col("key").startswith(F.col(f"at{d}.open")), F.col(f"at{d}.rules")).otherwise(none) for d in range(1, depth + 1)]
-    fits = F.filter(F.flatten(F.array(*open_rules)), lambda r: F.col("path").startswith(r["path"]))
-    # The stack is in order of depth, so of equally long rules the last has the longer host.
-    best = F.aggregate(
-        fits,
-        F.lit(None).cast("struct<path:string,verdict:string,rule:string>"),
-        lambda a, r: F.when(a.isNull() | (F.length(r["rule"]) >= F.length(a["rule"])), r).otherwise(a),
-    )
-    return swept.select("page_id", "host", "path", best.alias("best")).select(
+    swept = events.unionByName(urls, allowMissingColumns=True)
+    fits = []
+    for d in range(1, depth + 1):
+        # The key that a rule of d labels must have: the first d labels of the url's; keys with fewer labels are shorter.
+        swept = swept.withColumn(f"key{d}", F.concat(F.substring_index("key", "/", d), F.lit("/")))
+        sweep = Window.partitionBy("salt").orderBy(f"key{d}", "path", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        opened = F.struct(F.col("key").alias("open"), "chain")
+        swept = swept.withColumn(f"at{d}", F.last(F.when((F.col("kind") == 0) & (F.col("labels") == d), opened), ignorenulls=True).over(sweep))
+        active = F.filter(F.col(f"at{d}.chain"), lambda r: F.col("path").startswith(r["path"]))
+        fits.append(F.when((F.col(f"at{d}.open") == F.col(f"key{d}")) & (F.size(active) > 0), F.element_at(active, -1)))
+    # Depths are in order, so of equally long rules the last has the longer host.
+    best = F.aggregate(F.filter(F.array(*fits), lambda r: r.isNotNull()), fits[0] if depth == 1 else F.coalesce(*fits), lambda a, r: F.when(F.length(r["rule"]) >= F.length(a["rule"]), r).otherwise(a))
+    return swept.where("kind = 1").select("page_id", "host", "path", best.alias("best")).select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
     )

@@ -353,6 +353,28 @@ def test_url_cases(spark):
         urlrules.filter_urls(pages, spark.sql("SELECT 'block' AS verdict, 'a' AS host, 'x' AS path"))
 
 
+def test_nested_paths_and_hosts_as_brute_force(spark, monkeypatch):
+    import random
+
+    rng = random.Random(8)
+    hosts = ["com", "a.com", "b.a.com", "c.b.a.com", "net", "a.net", "ab.com", "b-a.com"]
+    paths = ["/", "/a", "/a/", "/a/b", "/a/b/c/", "/ab", "/a!", "/é/", "/a/c", "/z" * 40]
+    rules = sorted({(rng.choice(hosts), rng.choice(paths)): rng.choice(["allow", "block"]) for _ in range(45)}.items())
+    urls = [f"http://{rng.choice(['', 'x.', 'c.b.', 'www.'])}{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', 'b/c/d', '/', '!', '?/a/', '#x'])}" for _ in range(600)] + [None, "", "http:///a", "http://com./a", "http://.com/a/"]
+
+    def expected(u):
+        host, path = re.match(r"(?s)([^/?#]*)([^?#]*)", u.split("://", 1)[1]).groups() if u and "://" in u else ("", "")
+        fits = [(len(h + p), len(h), h + p, v) for (h, p), v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[2:] if fits else (None, "allow")
+
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string").repartition(3)
+    table = spark.createDataFrame([(v, h, p) for (h, p), v in rules], "verdict string, host string, path string")
+    for bound in (urlrules.REPEATED, 1):
+        monkeypatch.setattr(urlrules, "REPEATED", bound)
+        got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urlrules.filter_urls(pages, table).collect()}
+        assert got == {i: expected(u) for i, u in enumerate(urls)}
+
+
 # --- chats ------------------------------------------------------------------------------------------------------------
 
 
