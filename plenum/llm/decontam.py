@@ -1,9 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
-A text becomes template tokens: lower-cased runs of letters and digits, in which numbers, the units after them and names
-(capitalised words inside a sentence, runs of them as one) are replaced by typed placeholders.  Windows of 8 template
-tokens are looked up in a hash table of the benchmark's windows; so a question asked again with other numbers or names
-hits the same windows.  Windows of templates with fewer than ``LITERALS`` other tokens say nothing and are left out.
+A text becomes template tokens: lower-cased runs of letters and digits, in which numbers (in figures, or spelled out), the
+units after them and names (words with a capital, of any alphabet of two-byte letters, inside a sentence; runs of them as one)
+are replaced by typed placeholders.  Names without a capital are plain words.  Windows of 8 template tokens are hash-joined
+with the benchmark's windows; so a question asked again with other numbers or names hits the same windows.  Windows of templates with fewer than ``LITERALS`` other tokens say nothing and are left out.
 
 An item has up to three readings, each looked up for itself; a text holds the item if it holds one of them: the template
 as at the start of a sentence, the template as inside one (where a capitalised first word is a name), and the plain words
@@ -15,8 +15,9 @@ of the item always stands for the same value of the text, and different values f
 that breaks what most of the occurrence says are taken back.  A text holds an item if the windows left are ``COVERAGE``
 of the reading's, or if they lie side by side over ``RUN`` tokens or more.
 
-The benchmark side is broadcast in blocks of at most ``BLOCK`` windows; a larger benchmark takes several passes over the
-texts.  Texts are never shuffled.
+The hash table of the benchmark's windows is broadcast in blocks of about ``BLOCK`` windows, whose size is counted while
+they are read; a larger benchmark takes several passes over the texts, each written before the next block is read, so that
+one block is held at a time.  Texts are never shuffled.
 
 Defined cases: null, empty and wordless texts hold nothing; items without words are in nothing; items with
 placeholders alone are found word for word only; an item shorter than a window is looked up whole; repeated rows (of either table) each count; further columns
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, small_table, written
 from .hashing import _BYTES, _UPPER, STEP, U, in_slices, mix, ngram_hashes, places, powers, run_sums, word_bounds
 
 WINDOW, LITERALS, COVERAGE, RUN = 8, 4, 0.5, 20
@@ -46,6 +47,11 @@ UNITS = (
     "ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months "
     "year years percent dollar dollars cent cents euro euros usd eur mph kmh kb mb gb tb w kw v volts watts degrees"
 ).split()
+# Words that are numbers.
+SPELLED = (
+    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
+).split()
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -53,6 +59,10 @@ _STOP = np.zeros(256, bool)
 _STOP[[*b".!?\n"]] = True
 _INNER = np.zeros(256, bool)
 _INNER[[*b".,:/"]] = True
+_HYPHEN = np.zeros(256, bool)
+_HYPHEN[[*b"- "]] = True
+#: Capitals among the letters of two bytes.
+_CAPITAL = np.array([chr(c).isupper() for c in range(0x800)])
 PLAIN, NUMBER, UNIT, NAME = range(4)
 _PLACEHOLDER = mix(np.arange(1, 5, dtype=U) * STEP)
 
@@ -63,13 +73,17 @@ def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(run_sums(_BYTES[_UPPER[own]], starts, ends, powers(int(at.max()) + 1 if len(at) else 1)[at]) + STEP)
 
 
-def _unit_hashes() -> np.ndarray:
-    data = np.frombuffer(" ".join(UNITS).encode(), np.uint8)
+def _hashes_of(words: list[str]) -> np.ndarray:
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
     starts, ends, _ = word_bounds(~_WORD[data], np.array([0, len(data)]))
     return np.sort(_hash_words(data, starts, ends))
 
 
-_UNITS = _unit_hashes()
+_UNITS, _SPELLED = _hashes_of(UNITS), _hashes_of(SPELLED)
+
+
+def _among(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
 
 
 @dataclass
@@ -95,19 +109,26 @@ def templates(data: np.ndarray, words: Templates, inside: bool = False) -> Templ
     if not len(words.text):
         return words
     hashes, starts, ends, text = words.hashes, words.starts, words.ends, words.text
-    first, second = data[starts], np.where(ends - starts > 1, data[np.minimum(starts + 1, len(data) - 1)], 0)
+    at = lambda k: np.where(ends - starts > k, data[np.minimum(starts + k, len(data) - 1)], 0)
+    first, second = data[starts], at(1)
     new_text = np.concatenate([[True], text[1:] != text[:-1]])
     gap = np.concatenate([[0], starts[1:] - ends[:-1]])
     stops = np.concatenate([[0], np.cumsum(_STOP[data])])
     begins = (new_text & (not inside)) | ~new_text & (stops[starts] > stops[np.concatenate([[0], ends[:-1]])])
-    number = (first >= 48) & (first <= 57)
-    name = (first >= 65) & (first <= 90) & ((second >= 97) & (second <= 122) | (second >= 128)) & ~begins
+    figures, spelled = (first >= 48) & (first <= 57), _among(_SPELLED, hashes)
+    number = figures | spelled
+    # A capital, then a small letter or any letter beyond ASCII.
+    wide = (first >= 0xC3) & (first <= 0xDF)
+    point = ((first & 0x1F).astype(np.int64) << 6) | (second & 0x3F)
+    capital, then = (first >= 65) & (first <= 90) | wide & _CAPITAL[np.where(wide, point, 0)], np.where(wide, at(2), second)
+    name = capital & ((then >= 97) & (then <= 122) | (then >= 128)) & ~begins & ~spelled
     after = np.concatenate([[False], number[:-1]]) & ~new_text
-    unit = after & ~number & (_UNITS[np.minimum(np.searchsorted(_UNITS, hashes), len(_UNITS) - 1)] == hashes)
+    unit = after & ~number & _among(_UNITS, hashes)
     kinds = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, PLAIN)))
-    # 3.5 and 1,000 are one number; neighbouring names are one name.
-    joins = np.zeros(len(starts), bool)
-    joins[1:] = ~new_text[1:] & (kinds[1:] == kinds[:-1]) & ((kinds[1:] == NAME) | (kinds[1:] == NUMBER) & (gap[1:] == 1) & _INNER[data[starts[1:] - 1]])
+    # 3.5 and 1,000 are one number, and so is twenty-five; neighbouring names are one name.
+    joins, between = np.zeros(len(starts), bool), data[starts[1:] - 1]
+    both = np.where(spelled[1:] & spelled[:-1], _HYPHEN[between], ~spelled[1:] & ~spelled[:-1] & _INNER[between])
+    joins[1:] = ~new_text[1:] & (kinds[1:] == kinds[:-1]) & ((kinds[1:] == NAME) | (kinds[1:] == NUMBER) & (gap[1:] == 1) & both)
     heads = np.flatnonzero(~joins)
     last = np.concatenate([heads[1:], [len(starts)]]) - 1
     kinds = kinds[heads]
@@ -124,24 +145,54 @@ def _windows(t: Templates, size: int) -> np.ndarray:
     return good, ngram_hashes(t.hashes, size)[good]
 
 
+class HashTable:
+    """Open addressing over 64-bit hashes, all of them placed and probed at once; equal ones lie side by side in ``order``."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.order = np.argsort(hashes, kind="stable")
+        keys, self.n = np.unique(hashes, return_counts=True)
+        self.start = np.cumsum(self.n) - self.n
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = U(64 - bits), np.int64((1 << bits) - 1)
+        self.slot, self.keys = np.full(1 << bits, -1, np.int32), keys
+        at, left = (keys >> self.shift).astype(np.int64), np.arange(len(keys))
+        while len(left):
+            free = self.slot[at[left]] < 0
+            self.slot[at[left[free]]] = left[free]  # of several that want a slot the last one has it
+            left = left[self.slot[at[left]] != left]
+            at[left] = (at[left] + 1) & self.mask
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``hashes``, place of the equal one in the table's input) for every pair that is equal."""
+        left, at = np.arange(len(hashes)), (hashes >> self.shift).astype(np.int64)
+        key = np.full(len(hashes), -1, np.int64)
+        while len(left):
+            slot = self.slot[at]
+            taken = slot >= 0
+            left, at, slot = left[taken], at[taken], slot[taken]
+            same = self.keys[slot] == hashes[left]
+            key[left[same]] = slot[same]
+            left, at = left[~same], (at[~same] + 1) & self.mask
+        hit = np.flatnonzero(key >= 0)
+        start, n = self.start[key[hit]], self.n[key[hit]]
+        return np.repeat(hit, n), self.order[np.repeat(start, n) + places(start, start + n)]
+
+
 @dataclass
 class Index:
-    """Windows of readings of a block of the benchmark, sorted by hash, with a bitmap of the hashes' first 20 bits; ``items``: the
+    """Windows of readings of a block of the benchmark by their size: a hash table, the reading and the place in it; ``items``: the
     item number of each reading."""
 
-    sizes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    sizes: dict[int, tuple[HashTable, np.ndarray, np.ndarray]]
     items: list[int]
     tokens: list[tuple[np.ndarray, list[str]]]
     counts: np.ndarray
 
     def find(self, size: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(which of ``hashes``, number of the reading, place in it) for every pair that is equal."""
-        keys, item, place, bitmap = self.sizes[size]
-        at = np.flatnonzero(bitmap[(hashes >> U(44)).astype(np.int64)])
-        lo, hi = np.searchsorted(keys, hashes[at]), np.searchsorted(keys, hashes[at], "right")
-        n = hi - lo
-        which = np.repeat(lo, n) + places(lo, hi)
-        return np.repeat(at, n), item[which], place[which]
+        table, item, place = self.sizes[size]
+        at, which = table.find(hashes)
+        return at, item[which], place[which]
 
 
 def _slots(t: Templates, data: np.ndarray, a: int, b: int) -> list[str]:
@@ -158,13 +209,9 @@ def _index(t: Templates, data: np.ndarray, items: np.ndarray) -> Index:
         first, hashes = first[own], hashes[own]
         if not len(first):
             continue
-        order = np.argsort(hashes, kind="stable")
-        first, hashes = first[order], hashes[order]
-        bitmap = np.zeros(1 << 20, bool)
-        bitmap[(hashes >> U(44)).astype(np.int64)] = True
         item = t.text[first]
         counts += np.bincount(item, minlength=len(items))
-        found[size] = (hashes, item, first - at[item], bitmap)
+        found[size] = (HashTable(hashes), item, first - at[item])
     tokens = [(t.kinds[a:b], _slots(t, data, a, b)) for a, b in zip(at, at[1:])]
     return Index(found, items.tolist(), tokens, counts)
 
@@ -267,24 +314,25 @@ def matches(column: pa.Array, index: Readings, coverage: float = COVERAGE) -> It
             yield base + r, index.ids[i], share, run
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Readings]:
-    held, size = [], 0
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[Readings, bool]]:
+    """The benchmark's indexes, block by block, and whether it is the only one."""
+    held, size, before = [], 0, False
     for row in benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("bigint"), "text").toLocalIterator():
+        if size >= BLOCK:
+            yield build_index(held), False
+            held, size, before = [], 0, True
         held.append((row[0], row[1]))
         size += len(row[1] or "") // 4 + 1
-        if size >= BLOCK:
-            yield build_index(held)
-            held, size = [], 0
     if held:
-        yield build_index(held)
+        yield build_index(held), not before
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, coverage, run) for every item that a document holds."""
     small_batches(docs.sparkSession)
     schema = "doc_id bigint, item_id bigint, coverage double, run bigint"
-    context, out = docs.sparkSession.sparkContext, docs.sparkSession.createDataFrame([], schema)
-    for k, index in enumerate(_blocks(benchmark)):
+    context, out = docs.sparkSession.sparkContext, None
+    for index, only in _blocks(benchmark):
         shared = context.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -296,15 +344,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
                 )
 
         one = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
-        out = one if k == 0 else out.unionAll(one)
-    return out
+        if only:
+            return one
+        one = written(one)
+        shared.destroy()
+        out = one if out is None else out.unionAll(one)
+    return small_table(docs.sparkSession, [], schema) if out is None else out
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """``docs`` without the rows that hold an item, all columns as they were."""
     small_batches(docs.sparkSession)
     columns, context = docs.columns, docs.sparkSession.sparkContext
-    for index in _blocks(benchmark):
+    for index, only in _blocks(benchmark):
         shared = context.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -314,4 +366,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVE
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if not only:
+            docs = written(docs)
+            shared.destroy()
     return docs.select(*columns)

@@ -1,8 +1,10 @@
 """BPE, secrets, licences, urls, chats, quality, decontamination: contracts, brute force, and the cases the docstrings define."""
 
 import hashlib
+import itertools
 import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -557,40 +559,76 @@ ITEM = "Alice has 12 apples and gives 5 apples to her friend Bob Smith who then
 
 
 def brute_force_leaks(docs, items):
-    """The method's definition over plain token lists, item by item."""
+    """The method's definition over plain token lists, item by item and window by window."""
+    small = lambda w: "".join(c.lower() if c < "\x80" else c for c in w)
 
-    def template(text):
-        out = []
-        last = 0
+    def template(text, inside=False, plain=False):
+        """(kind, word if plain, all of it as written) of each token."""
+        out, last, before = [], 0, None
         for m in re.finditer(r"[0-9A-Za-z\u0080-\U0010ffff]+", text or ""):
             w, gap = m[0], (text or "")[last : m.start()]
-            begins = not out or any(c in gap for c in ".!?\n")
-            kind = "n" if "0" <= w[0] <= "9" else "u" if out and out[-1][3] and w.lower() in decontam.UNITS else "a" if not begins and "A" <= w[0] <= "Z" and len(w) > 1 and ("a" <= w[1] <= "z" or w[1] > "\x7f") else "p"
-            joins = out and out[-1][0] == kind and (kind == "a" or kind == "n" and gap in tuple(".,:/"))
+            last = m.end()
+            if plain:
+                out.append(("p", small(w), w))
+                continue
+            begins = not inside if before is None else any(c in gap for c in ".!?\n")
+            spelled = small(w) in decontam.SPELLED
+            capital = "A" <= w[0] <= "Z" or "\xc0" <= w[0] < "\u07c0" and w[0].isupper()
+            if "0" <= w[0] <= "9" or spelled:
+                kind = "n"
+            elif before and before[0] == "n" and small(w) in decontam.UNITS:
+                kind = "u"
+            elif capital and not begins and len(w) > 1 and ("a" <= w[1] <= "z" or w[1] > "\x7f"):
+                kind = "a"
+            else:
+                kind = "p"
+            joins = before and before[0] == kind and (kind == "a" or kind == "n" and (gap in ("-", " ") if spelled and before[1] else not spelled and not before[1] and gap in tuple(".,:/")))
             if joins:
-                out[-1] = (kind, None, out[-1][2] + gap + w, kind == "n")
+                out[-1] = (kind, None, out[-1][2] + gap + w)
             else:
-                lower = "".join(c.lower() if c < "\x80" else c for c in w)
-                out.append((kind, lower if kind == "p" else None, w, kind == "n"))
-            last = m.end()
+                out.append((kind, small(w) if kind == "p" else None, w))
+            before = kind, spelled
         return out
 
+    def agreeing(slots):
+        """Of (kind, item's value, text's value) the pairs that hold: one value stands for one, by the most frequent first."""
+        votes = defaultdict(lambda: defaultdict(int))
+        for kind, x, y in slots:
+            votes[kind, x][y] += 1
+        meaning, taken = {}, set()
+        for key in sorted(votes, key=lambda k: (-max(votes[k].values()), decontam_kind(k[0]), k[1])):
+            free = [(n, y) for y, n in votes[key].items() if (key[0], y) not in taken]
+            if free:
+                meaning[key] = max(free)[1]
+                taken.add((key[0], meaning[key]))
+        return meaning
+
+    decontam_kind = {"n": decontam.NUMBER, "u": decontam.UNIT, "a": decontam.NAME}.get
     found = set()
-    temps = [(i, template(t)) for i, t in items]
-    for d, text in docs:
-        own = template(text)
-        for i, item in temps:
-            size = min(decontam.WINDOW, len(item))
-            windows = [p for p in range(len(item) - size + 1) if sum(x[0] == "p" for x in item[p : p + size]) >= min(decontam.LITERALS, size)] if item else []
-            hits = [(q, p) for p in windows for q in range(len(own) - size + 1) if [x[:2] for x in own[q : q + size]] == [x[:2] for x in item[p : p + size]]]
-            kept = set()
-            for diagonal in {q - p for q, p in hits}:
-                of = [(q, p) for q, p in hits if q - p == diagonal]
-                kinds = np.array([{"p": decontam.PLAIN, "n": decontam.NUMBER, "u": decontam.UNIT, "a": decontam.NAME}[x[0]] for x in item])
-                lower = lambda ts: [x[2].lower() if x[0] != "p" else "" for x in ts]
-                kept |= decontam.consistent(of, size, kinds, lower(item), lower(own))
-            if kept and (len(kept) / len(windows) >= decontam.COVERAGE or decontam._longest(kept, size) >= decontam.RUN):
-                found.add((d, i))
+    for plain in (False, True):
+        readings = [(i, r) for i, t in items if i is not None for r in ([template(t, plain=True)] if plain else {tuple(template(t, inside)) for inside in (False, True)})]
+        for d, text in docs:
+            own = template(text, plain=plain)
+            at = defaultdict(list)
+            for size in {min(decontam.WINDOW, len(r)) for _, r in readings if r}:
+                for q in range(len(own) - size + 1):
+                    at[tuple(x[:2] for x in own[q : q + size])].append(q)
+            for i, item in readings:
+                size = min(decontam.WINDOW, len(item))
+                windows = [p for p in range(len(item) - size + 1) if sum(x[0] == "p" for x in item[p : p + size]) >= min(decontam.LITERALS, size)] if item else []
+                diagonals = defaultdict(list)
+                for p in windows:
+                    for q in at.get(tuple(x[:2] for x in item[p : p + size]), ()):
+                        diagonals[q - p].append(p)
+                kept = set()
+                for shift, places in diagonals.items():
+                    slots = {(p + k, (item[p + k][0], item[p + k][2].lower(), own[p + k + shift][2].lower())) for p in places for k in range(size) if item[p + k][0] != "p"}
+                    meaning = agreeing([s for _, s in slots])
+                    wrong = {k for k, (kind, x, y) in slots if meaning.get((kind, x)) != y}
+                    kept |= {p for p in places if not wrong & set(range(p, p + size))}
+                run = max((len(list(g)) for _, g in itertools.groupby(sorted(kept), key=lambda p, n=itertools.count(): p - next(n))), default=0)
+                if kept and (len(kept) / len(windows) >= decontam.COVERAGE or run + size - 1 >= decontam.RUN):
+                    found.add((d, i))
     return found
 
 
@@ -619,6 +657,32 @@ def test_leak_cases(spark):
     assert decontam.find_leaks(df.limit(0), items).count() == 0
 
 
+def test_names_and_numbers_of_many_kinds_as_brute_force(spark):
+    item = "Yesterday Émile Zola paid twenty-five coins for 12 kg of the old rice in Łódź, said Ольга."
+    items = [(1, item), (2, "Two trains leave Ávila at 3.5 mph and seven hundred people wait for the third one in Rome"), (3, "Zoë"), (4, "What is 12 + 7 * 3 - 4?")]
+    texts = [
+        "Yesterday Anna paid three coins for 99 kg of the old rice in Rome, said Bob.", "so Yesterday Émile Zola paid two hundred coins for 7 kg of the old rice in Paris, said Ивано.", "Yesterday nobody paid coins for rice.",
+        "Nine trains leave Oslo at 80 mph and 4 people wait for the third one in Łódź", "ZOË or Zoë", "zoe", "What is 12 + 7 * 3 - 4? It is.", "What is 12 + 7 * 3 - 5?", item.upper(), item.lower(),
+    ]
+    docs = list(enumerate(texts))
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == brute_force_leaks(docs, items) and got >= {(0, 1), (1, 1), (3, 2), (4, 3), (6, 4)} and not got & {(2, 1), (7, 4), (5, 3)}
+
+
+def test_hash_table():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 3_000):
+        keys = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        keys[: n // 3] >>= np.uint64(40)  # crowded slots
+        keys = np.concatenate([keys, keys[: n // 2]])
+        probe = np.concatenate([keys, rng.integers(0, 1 << 63, 500).astype(np.uint64)])
+        which, place = decontam.HashTable(keys).find(probe)
+        at = defaultdict(list)
+        for i, k in enumerate(keys.tolist()):
+            at[k].append(i)
+        assert sorted(zip(which.tolist(), place.tolist())) == sorted((i, j) for i, k in enumerate(probe.tolist()) for j in at[k])
+
+
 def test_leaks_word_for_word_whatever_stands_before(spark):
     texts = ["What is 12 + 7 * 3 - 4?", "Compute 3 + 4 * 5 - 6 / 2 + 8 * 9 - 10.", "What is the boiling point of water?", "Ann Lee, Bob Ray, Cy Poe", "What is the price of 5 kg of bread in June?", "12 13 14"]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
