@@ -6,7 +6,7 @@ hashed to a bucket; a bucket has a learned vector; a document is the mean of its
 
 Training happens on the driver on a bounded sample: at most ``max_rows`` labelled rows, chosen by a hash of their id.
 Executors count the features of their texts, so that no text goes to the driver; counts are taken in the order of the hash
-as long as they fit in ``max_features`` (distinct buckets of a text, 6 bytes each).  A row that doesn't fit is left out and the next one is looked at, so
+as long as they fit in ``max_features`` (distinct buckets of a text, 4 bytes each).  A row that doesn't fit is left out and the next one is looked at, so
 one long text costs itself alone.  Texts are never cut.  The sample, its order and the start values are fixed, so the same
 tables give the same model.
 
@@ -37,6 +37,9 @@ from .hashing import MIX1, MIX2, STEP, mix, places, powers, word_bounds
 BITS, DIM, MIN_N, MAX_N = 18, 8, 3, 5
 #: Small samples are gone through more often: at least STEPS batches are taken.
 EPOCHS, STEPS, BATCH, RATE = 8, 1_200, 32, 0.5
+#: A sampled text's features are kept in 32 bits each, bucket and count.
+COUNT_BITS = 14
+MOST = np.uint32((1 << COUNT_BITS) - 1)
 #: Bounds of the sample: labelled rows, and distinct features of their texts, summed over the rows.
 MAX_ROWS, MAX_FEATURES = 6_000, 40_000_000
 THRESHOLD = 0.3
@@ -139,15 +142,27 @@ def counted(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     return at, total[at]
 
 
-def fit(rows: Iterator[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> QualityModel:
-    """Stochastic gradient descent over batches of documents (buckets, counts, label); the rate falls linearly to zero."""
-    docs, labels = [], []
-    for at, n, label in rows:
-        docs.append((at, n, max(1, int(n.sum(dtype=np.int64)))))
+def pack(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Buckets with counts in 32 bits each; a count above MOST is written as several entries of its bucket."""
+    again = -(-n // MOST)
+    if (again > 1).any():
+        more = np.repeat(n, again) - MOST * places(np.zeros(len(n), np.int64), again)
+        at, n = np.repeat(at, again), np.minimum(more, MOST)
+    return (at.astype(np.uint32) << COUNT_BITS) | n.astype(np.uint32)
+
+
+def fit(rows: Iterator[tuple[np.ndarray, int]], bits: int = BITS, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> QualityModel:
+    """Stochastic gradient descent over batches of documents (packed features, label); the rate falls linearly to zero."""
+    docs, labels, total = [], [], []
+    for packed, label in rows:
+        docs.append(packed)
         labels.append(int(label))
+        total.append(max(1, int((packed & MOST).sum(dtype=np.int64))))
     y = np.array(labels, np.int64)
     rng = np.random.default_rng(seed)
-    vectors = ((rng.random((1 << bits, dim)) - 0.5) / dim).astype(np.float32)
+    vectors = np.empty((1 << bits, dim), np.float32)
+    for i in range(0, 1 << bits, 1 << 12):
+        vectors[i : i + (1 << 12)] = (rng.random((1 << min(12, bits), dim)) - 0.5) / dim
     output, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
     if len(set(labels)) < 2:
         return QualityModel(vectors, output, bias, bits, min(max(float(y.mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6))
@@ -159,12 +174,9 @@ def fit(rows: Iterator[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, di
         order = rng.permutation(len(docs))
         for i in range(0, len(docs), BATCH):
             part = order[i : i + BATCH]
-            sizes = [len(docs[k][0]) for k in part]
-            if not sum(sizes):
-                continue
-            at = np.concatenate([docs[k][0] for k in part])
-            share = np.concatenate([docs[k][1] / docs[k][2] for k in part])
-            row = np.repeat(np.arange(len(part)), sizes)
+            packed = np.concatenate([docs[k] for k in part])
+            row = np.repeat(np.arange(len(part)), [len(docs[k]) for k in part])
+            at, share = (packed >> COUNT_BITS).astype(np.int64), (packed & MOST) / np.array([total[k] for k in part])[row]
             present[at] = True
             used = np.flatnonzero(present)
             present[used], place[used] = False, np.arange(len(used))
@@ -203,34 +215,32 @@ def _counter(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, text in enumerate(batch.column("text").to_pylist()):
-                at, n = counted(text, bits)
-                n = n.astype(np.uint16 if not len(n) or n.max() < 1 << 16 else np.uint32)
                 own = [batch.column(c).slice(k, 1) for c in ("o", "label", "h")]
-                yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array([len(at)], pa.int64()), pa.array([at.astype(np.uint32).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], names=["o", "label", "h", "size", "buckets", "counts"]
-                )
+                packed = pack(*counted(text, bits))
+                yield pa.RecordBatch.from_arrays([*own, pa.array([len(packed)], pa.int64()), pa.array([packed.tobytes()], pa.binary())], names=["o", "label", "h", "size", "packed"])
 
     return run
 
 
-def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """(buckets, counts, label) of the training sample, in order."""
+def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> Iterator[tuple[np.ndarray, int]]:
+    """(packed features, label) of the training sample, in order."""
     small_batches(docs.sparkSession, 200)
-    rows = written(training_rows(docs, labels, label_col, max_rows).mapInArrow(_counter(BITS), "o bigint, label int, h bigint, size bigint, buckets binary, counts binary"))
+    rows = written(training_rows(docs, labels, label_col, max_rows).mapInArrow(_counter(BITS), "o bigint, label int, h bigint, size bigint, packed binary"))
     names, left = [], max_features
     for r in rows.select("o", "label", "h", "size").orderBy("o", "label", "h").limit(max_rows).collect():
         if r["size"] <= left:
             left -= r["size"]
-            names.append((r["o"], r["label"], r["h"]))
-    accepted, found = set(names), {}
+            names.append((r["o"], r["label"], r["h"], r["size"]))
+    # One array holds all of the sample: a row's features are copied to its place as they come.
+    ends = np.cumsum([0, *(n for *_, n in names)])
+    place = {name[:3]: k for k, name in enumerate(names)}
+    every = np.empty(int(ends[-1]), np.uint32)
     for r in rows.toLocalIterator(prefetchPartitions=False):
-        key = (r["o"], r["label"], r["h"])
-        if key in accepted:
-            at = np.frombuffer(r["buckets"], np.uint32)
-            found[key] = at, np.frombuffer(r["counts"], np.uint16 if len(r["counts"]) == 2 * len(at) else np.uint32)
-    for name in names:
-        at, n = found.pop(name)
-        yield at, n, name[1]
+        k = place.get((r["o"], r["label"], r["h"]))
+        if k is not None:
+            every[ends[k] : ends[k + 1]] = np.frombuffer(r["packed"], np.uint32)
+    for k, (_, label, *_) in enumerate(names):
+        yield every[ends[k] : ends[k + 1]], label
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> QualityModel:

@@ -510,7 +510,7 @@ def test_quality_features_and_scores_as_brute_force(spark, docs, monkeypatch):
 
 def test_quality_training_as_brute_force():
     texts = [("good words here", 1), ("bad bad junk", 0), ("good text", 1), ("junk!! and bad", 0), ("", 1)] * 9
-    rows = [(*quality.counted(t), y) for t, y in texts]
+    rows = [(quality.pack(*quality.counted(t)), y) for t, y in texts]
     model = quality.fit(iter(rows), dim=3, epochs=1, seed=3)
     # The same descent over whole arrays, document by document.
     rng = np.random.default_rng(3)
@@ -548,7 +548,9 @@ def test_a_giant_text_costs_itself_alone(spark):
     scores = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
     assert scores[9] > 0.9 and scores[8] < 0.1
     used = list(quality.sample(docs, labels, max_rows=20))
-    assert len(used) == 20 and {y for *_, y in used} == {0, 1}
+    assert len(used) == 20 and {y for _, y in used} == {0, 1}
+    packed = quality.pack(np.array([3, 9, 12]), np.array([1, 40_000, 16_383]))
+    assert np.bincount(packed >> 14, packed & quality.MOST).tolist() == [0, 0, 0, 1, 0, 0, 0, 0, 0, 40_000, 0, 0, 16_383]
     order = [(r["o"], r["label"], r["h"]) for r in quality.training_rows(docs, labels).collect()]
     assert len(order) == len(set(order)) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60)) + (zlib.crc32(b"5") % 5 != 0)
 
