@@ -36,7 +36,7 @@ def query(sql: str | None = None, *views: str, recursive: bool = False):
 
 VIEWS = {
     "pq": """pq AS (SELECT doc_id % 150 AS participant_id, CASE lang WHEN 'es' THEN 'Other' ELSE lang END AS topic,
-        CASE source WHEN 'src0' THEN 'Other' ELSE source END AS opinion, split_part(text, chr(10), 1) AS quote, doc_id AS ord FROM documents)""",
+        CASE source WHEN 'src0' THEN 'Other' ELSE source END AS opinion, text AS quote, doc_id AS ord FROM documents)""",
     "pv": "pv AS (SELECT user_id AS participant_id, event_type AS proposition, value > 20 AS approved FROM events)",
     "pm": "pm AS (SELECT * FROM (SELECT participant_id, proposition, avg(CASE WHEN approved THEN 1.0 ELSE 0.0 END) AS approved FROM pv GROUP BY ALL))",
     "pvs": """pvs AS (SELECT o_custkey AS participant_id, p_brand AS proposition, l_returnflag <> 'R' AS approved
@@ -56,12 +56,12 @@ VIEWS = {
 
 
 def pq(spark: SparkSession, d: str) -> DataFrame:
-    """Categorised quotes."""
+    """Categorised quotes: the whole texts."""
     return table(spark, d, "documents").select(
         (F.col("doc_id") % 150).alias("participant_id"),
         F.when(F.col("lang") == "es", "Other").otherwise(F.col("lang")).alias("topic"),
         F.when(F.col("source") == "src0", "Other").otherwise(F.col("source")).alias("opinion"),
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("quote"),
+        F.col("text").alias("quote"),
         F.col("doc_id").alias("ord"),
     )
 
@@ -71,8 +71,8 @@ def pv(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select(F.col("user_id").alias("participant_id"), F.col("event_type").alias("proposition"), (F.col("value") > 20).alias("approved"))
 
 
-def _sales(spark: SparkSession, d: str) -> DataFrame:
-    lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+def _sales(spark: SparkSession, d: str, *more: str) -> DataFrame:
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag", *more)
     joined = lines.join(table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.join(table(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
 
