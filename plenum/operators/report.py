@@ -92,45 +92,55 @@ def sample_quotes(quotes: DataFrame, score: Column, k: int = 4) -> DataFrame:
 
 
 def spread(rows: list[dict], k: int, seen: set) -> list[dict]:
-    """Sample of a topic's quotes (G19): in rounds over its opinions, a quote of someone unseen anywhere, else unseen in
-    this topic, else any quote not yet taken."""
+    """Sample of a topic's quotes (G19): ``k`` rounds, in each of which every opinion gives its best quote by ``score``.
+
+    Taken is the first of someone unseen anywhere, else of someone unseen in this topic, else any quote not yet taken.
+    Opinions are in order of their number of quotes, ``Other`` last (O03).
+    """
     by_opinion: dict[str, list[dict]] = {}
-    for r in sorted(rows, key=lambda r: r["ord"]):
+    for r in sorted(rows, key=lambda r: (r["place"], -r["score"], r["ord"])):
         by_opinion.setdefault(r["opinion"], []).append(r)
     taken: list[dict] = []
     here: set = set()
-    while len(taken) < k:
-        before = len(taken)
+    for _ in range(k):
         for own in by_opinion.values():
-            left = [r for r in own if r not in taken]
-            pick = next((r for r in left if r["participant_id"] not in seen), None) or next((r for r in left if r["participant_id"] not in here), None) or (left[0] if left else None)
-            if pick and len(taken) < k:
+            pick = next((r for r in own if r["participant_id"] not in seen and r["participant_id"] not in here), None)
+            pick = pick or next((r for r in own if r["participant_id"] not in here), None) or next((r for r in own if r not in taken), None)
+            if pick:
                 taken.append(pick)
                 seen.add(pick["participant_id"])
                 here.add(pick["participant_id"])
-        if len(taken) == before:
-            break
     return taken
 
 
-def topic_samples(quotes: DataFrame, k: int = 4, deep: int = 200) -> DataFrame:
-    """Samples of all topics, those with more quotes first; who was seen goes from one topic to the next.
+def topic_samples(quotes: DataFrame, k: int = 4, score: Column | None = None) -> DataFrame:
+    """Samples of all topics by bridging score (G19): opinions times ``k`` quotes a topic, those with more people first (O04);
+    who was seen goes from one topic to the next.
 
-    Only the first quotes of each (topic, opinion, participant), at most ``deep`` an opinion, can be chosen from: more
-    than any sample takes, and a bounded input for what is one sequence of picks by nature.
+    It is one sequence of picks by nature, so what goes in is bounded without a change of the picks.  Of an opinion's quotes
+    in order of their score only the ``need`` first ones of people in turn (their best quote each) can be a first or second
+    choice, ``need`` being one more than the picks of all topics, since no more people than that can have been seen; any other
+    quote is a third choice only where an opinion has fewer people than that, or among its ``need`` first quotes.
     """
-    w = Window.partitionBy("topic", "opinion").orderBy("ord")
-    first = first_per(quotes, ["topic", "opinion", "participant_id"], ["ord"]).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max(k, deep)).drop("_n")
-    sized = first.join(quotes.groupBy("topic").agg(F.count("*").alias("_size")), "topic")
+    scored = quotes.withColumn("score", F.coalesce(score if score is not None else F.lit(0.0), F.lit(float("-inf"))))
+    opinions = opinions_in_order(quotes).select("topic", "opinion", "place")
+    need = k * opinions.count() + 1
+    own = Window.partitionBy("topic", "opinion").orderBy(F.desc("score"), "ord")
+    best = first_per(scored, ["topic", "opinion", "participant_id"], [F.desc("score"), F.col("ord")]).withColumn("_n", F.row_number().over(own)).where(F.col("_n") <= need).drop("_n")
+    first = scored.withColumn("_n", F.row_number().over(own)).where(F.col("_n") <= need).drop("_n")
+    columns = ["topic", "opinion", "participant_id", "quote", "ord", "score"]
+    chosen = best.select(*columns).union(first.select(*columns)).distinct()
+    people = quotes.where(F.trim("quote") != "").groupBy("topic").agg(F.countDistinct("participant_id").alias("_size"))
+    sized = chosen.join(opinions, ["topic", "opinion"]).join(people, "topic", "left")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         seen: set = set()
         out: list[dict] = []
-        for _, own in sorted(pdf.groupby("topic"), key=lambda x: (-x[1]["_size"].iloc[0], x[0])):
-            out += [r | {"place": i} for i, r in enumerate(spread(own.to_dict("records"), k, seen), 1)]
+        for _, topic in sorted(pdf.groupby("topic"), key=lambda x: (-x[1]["_size"].fillna(0).iloc[0], x[0])):
+            out += [r | {"place": i} for i, r in enumerate(spread(topic.to_dict("records"), k, seen), 1)]
         return pd.DataFrame(out, columns=["topic", "opinion", "participant_id", "quote", "place"])
 
-    return sized.select("topic", "opinion", "participant_id", "quote", "ord", "_size", F.lit(0).alias("_all")).groupBy("_all").applyInPandas(run, "topic string, opinion string, participant_id bigint, quote string, place bigint")
+    return sized.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(run, "topic string, opinion string, participant_id bigint, quote string, place bigint")
 
 
 def hierarchy(quotes: DataFrame, k: int | None = None) -> DataFrame:

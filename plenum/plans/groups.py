@@ -241,7 +241,7 @@ def r23_report_json(spark, d):
 
 @query()
 def g19_topic_samples(spark, d):
-    return report.topic_samples(pq(spark, d))
+    return report.topic_samples(pq(spark, d), score=digest_share("quote"))
 
 
 @query(
