@@ -27,19 +27,33 @@ def members(sets: DataFrame) -> DataFrame:
     return sets.where("size(members) >= 2").select("set_id", F.explode("members").alias("proposition_id"))
 
 
-def similar_sets(propositions: DataFrame, least: float = 0.5, words: int = 2) -> DataFrame:
-    """Equivalence sets without a model (G14): word n-grams in common, linked from a Jaccard share of ``least``.
+def similar_sets(propositions: DataFrame, least: float = 0.75, words: int = 5) -> DataFrame:
+    """Equivalence sets without a model (G14): propositions linked by a Jaccard share of ``least`` of their word n-grams.
 
-    The model's place-holder for tests.  Pairs come from shared n-grams; an n-gram of over a hundred propositions says
-    nothing about equivalence and makes no pairs.
+    The model's place-holder for tests and first drafts.  Propositions of equal n-grams are one class, of which one goes on;
+    classes meet by an n-gram of their prefixes (in order of rarity, the first ``n - ceil(least * n) + 1``), which no link can
+    do without, and are counted over all n-grams.  A set is a proposition with those linked to it.
     """
     tokens = F.filter(F.split(F.lower("proposition"), r"[^\p{L}\p{N}]+"), lambda x: x != "")
     at = F.sequence(F.lit(1), F.greatest(F.size("w") - words + 1, F.lit(1)))
-    grams = propositions.select("proposition_id", tokens.alias("w")).select("proposition_id", F.explode(F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice("w", i, F.lit(words)), " ")))).alias("g"))
-    sized = grams.withColumn("n", F.count("*").over(Window.partitionBy("proposition_id"))).withColumn("df", F.count("*").over(Window.partitionBy("g"))).where("df BETWEEN 2 AND 100")
-    a, b = sized.select(F.col("proposition_id").alias("a"), "g", F.col("n").alias("na")), sized.select(F.col("proposition_id").alias("b"), "g", F.col("n").alias("nb"))
-    pairs = a.join(b, "g").where("a < b").groupBy("a", "b", "na", "nb").count().where(F.col("count") / (F.col("na") + F.col("nb") - F.col("count")) >= least)
-    return pairs.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("others")).select(F.col("a").alias("set_id"), F.concat(F.array("a"), "others").alias("members"))
+    grams = F.array_sort(F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice("w", i, F.lit(words)), " "))))
+    own = propositions.select("proposition_id", tokens.alias("w")).where(F.size("w") > 0).select("proposition_id", grams.alias("grams"))
+    classes = own.groupBy("grams").agg(F.min("proposition_id").alias("c"))
+    each = classes.select("c", F.size("grams").alias("n"), F.explode("grams").alias("g"))
+    df = each.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
+    place = F.row_number().over(Window.partitionBy("c").orderBy("df", "g")) + F.col("n") - F.count("*").over(Window.partitionBy("c"))
+    # N-grams of one class alone come first in that order, and meet nothing.
+    prefix = each.join(df, "g").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1).select("c", "n", "g")
+    a, b = prefix.select(F.col("c").alias("a"), F.col("n").alias("na"), "g"), prefix.select(F.col("c").alias("b"), F.col("n").alias("nb"), "g")
+    met = a.join(b, "g").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= least * F.greatest("na", "nb"))).select("a", "b").distinct()
+    sets = classes.select("c", "grams")
+    both = met.join(sets.withColumnsRenamed({"c": "a", "grams": "ga"}), "a").join(sets.withColumnsRenamed({"c": "b", "grams": "gb"}), "b")
+    common = F.size(F.array_intersect("ga", "gb"))
+    linked = both.where(common / (F.size("ga") + F.size("gb") - common) >= least).select("a", "b")
+    named = own.join(classes, "grams").select("proposition_id", "c")
+    members = linked.select(F.col("a").alias("set_id"), F.col("b").alias("c")).unionAll(classes.select(F.col("c").alias("set_id"), "c")).join(named, "c")
+    listed = members.groupBy("set_id").agg(F.array_sort(F.collect_set("proposition_id")).alias("members")).where("size(members) >= 2")
+    return listed.select("set_id", "members")
 
 
 def lowest_rank(group: list[dict]) -> str:
@@ -50,12 +64,12 @@ def lowest_rank(group: list[dict]) -> str:
 def draft(rows: list[dict], n: int, judge: Callable[[list[dict]], str] = lowest_rank) -> list[dict]:
     """Rank-filling draft of one group (G12): in each round every topic still short offers its best proposition left.
 
-    Offers of the same equivalence set collide; the judge keeps one, the others are duplicates and their topics offer
-    again in that round.  A set is closed once one of it is taken.
+    Offers of the same equivalence set collide; the judge keeps one, the topics of the others offer again in that round.  A
+    set is closed once one of it is taken.  Every member of a set is marked as a duplicate, the one that was kept too.
     """
     by_topic: dict[str, list[dict]] = {}
     for r in sorted(rows, key=lambda r: (r["topic_id"], r["rank"], r["proposition_id"])):
-        r |= {"selected": False, "duplicate": False}
+        r |= {"selected": False, "duplicate": r["set_id"] is not None, "lost": False}
         by_topic.setdefault(r["topic"], []).append(r)
     closed: set = set()
     for k in range(1, n + 1):
@@ -64,9 +78,9 @@ def draft(rows: list[dict], n: int, judge: Callable[[list[dict]], str] = lowest_
             offers: dict = {}
             for t in short:
                 for r in by_topic[t]:
-                    if not r["selected"] and not r["duplicate"]:
+                    if not r["selected"] and not r["lost"]:
                         if r["set_id"] is not None and r["set_id"] in closed:
-                            r["duplicate"] = True
+                            r["lost"] = True
                             continue
                         offers[t] = r
                         break
@@ -78,8 +92,8 @@ def draft(rows: list[dict], n: int, judge: Callable[[list[dict]], str] = lowest_
                 winner = judge([r for _, r in group]) if len(group) > 1 else group[0][1]["proposition_id"]
                 for t, r in group:
                     r["selected"] = r["proposition_id"] == winner
-                    r["duplicate"] = not r["selected"]
-                    if r["duplicate"]:
+                    r["lost"] = not r["selected"]
+                    if r["lost"]:
                         short.append(t)
                 if kind == "set":
                     closed.add(name)

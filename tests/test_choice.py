@@ -89,16 +89,38 @@ def test_draft(spark):
     df = spark.createDataFrame(rows, "topic string, topic_id int, proposition_id string, proposition string, rank int")
     sets = spark.createDataFrame([("s", ["0:0", "1:1"]), ("alone", ["1:2"])], "set_id string, members array<string>")
     got = dedup.rank_filling(df, sets, 2)
-    assert {r["proposition"] for r in got.where("selected").collect()} == {"a1_dup", "a2", "b1", "b3"} and {r["proposition"] for r in got.where("duplicate").collect()} == {"b2_dup"}
+    assert {r["proposition"] for r in got.where("selected").collect()} == {"a1_dup", "a2", "b1", "b3"} and {r["proposition"] for r in got.where("duplicate").collect()} == {"a1_dup", "b2_dup"}
     assert {r["proposition"] for r in dedup.winning_topics(df, sets, 2).where("selected").collect()} == {"a1_dup", "a2", "b1", "b3"}
     assert dedup.has_selected(got) and not dedup.has_selected(got.where("NOT selected"))
     assert dedup.ranking_column(["full_schulze_ranking", "full_pav_ranking"]) == "full_pav_ranking"
     with pytest.raises(ValueError):
         dedup.ranking_column([])
     clash = dedup.draft([{"topic": t, "topic_id": i, "proposition_id": f"{i}:0", "rank": 1, "set_id": "s"} for i, t in enumerate("AB")], 1, judge=lambda g: max(x["proposition_id"] for x in g))
-    assert [(r["topic"], r["selected"], r["duplicate"]) for r in clash] == [("A", False, True), ("B", True, False)]
-    similar = dedup.similar_sets(spark.createDataFrame([("0:0", "lower the taxes now"), ("1:0", "lower the taxes now please"), ("1:1", "more parks")], "proposition_id string, proposition string"))
-    assert [sorted(r["members"]) for r in similar.collect()] == [["0:0", "1:0"]]
+    assert [(r["topic"], r["selected"], r["duplicate"]) for r in clash] == [("A", False, True), ("B", True, True)]
+
+
+def test_similar_sets_as_brute_force(spark):
+    import random
+
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(40)]
+    rows = [("0:0", "lower the taxes now"), ("1:0", "Lower the taxes now!"), ("1:1", "more parks"), ("9:9", "..."), *((f"hot:{i}", "one same text of many words that a hundred and more propositions share") for i in range(120))]
+    while len(rows) < 220:
+        w = rng.choice(rows)[1].split() if rng.random() < 0.6 else rng.choices(words, k=rng.randint(5, 30))
+        if rng.random() < 0.7:
+            w[rng.randrange(len(w))] = rng.choice(words)
+        rows.append((f"x:{len(rows)}", " ".join(w)))
+
+    def grams(t):
+        w = "".join(c if c.isalnum() else " " for c in t.lower()).split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = {i: grams(t) for i, t in rows}
+    like = lambda a, b: bool(sets[a]) and len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b])
+    first = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}
+    want = {i: sorted(j for j in sets if like(i, j) and first[j] >= i) for i in sets if sets[i] and first[i] == i}
+    got = {r["set_id"]: r["members"] for r in dedup.similar_sets(spark.createDataFrame(rows, "proposition_id string, proposition string")).collect()}
+    assert got == {i: m for i, m in want.items() if len(m) > 1} and max(map(len, got.values())) >= 120
 
 
 def test_topic_tree_text(spark):
@@ -111,9 +133,51 @@ def test_topic_tree_text(spark):
 
 
 def test_samples_prefer_unseen_people():
-    rows = [{"ord": i, "opinion": o, "participant_id": p, "quote": f"q{i}"} for i, (o, p) in enumerate([("a", 1), ("a", 2), ("b", 1), ("b", 3)])]
-    assert [r["participant_id"] for r in report.spread(rows, 3, set())] == [1, 3, 2]
-    assert [r["participant_id"] for r in report.spread(rows, 2, {1, 2, 3})] == [1, 3]
+    rows = [{"ord": i, "opinion": o, "participant_id": p, "quote": f"q{i}", "score": s, "place": "ab".index(o)} for i, (o, p, s) in enumerate([("a", 1, 0.1), ("a", 2, 0.9), ("b", 2, 0.8), ("b", 3, 0.2), ("b", 2, 0.7)])]
+    # Each round takes one of every opinion, the best score first, people that were not seen before others.
+    assert [r["ord"] for r in report.spread(rows, 1, set())] == [1, 3]
+    assert [r["ord"] for r in report.spread(rows, 2, set())] == [1, 3, 0, 2]
+    assert [r["ord"] for r in report.spread(rows, 9, set())] == [1, 3, 0, 2, 4]
+    assert [r["ord"] for r in report.spread(rows, 1, {2, 3})] == [0, 2]
+
+
+def brute_force_samples(rows, k):
+    """The draft over all quotes: topics with more people first, opinions by number with Other last, best scores first."""
+    import collections
+
+    topics = collections.defaultdict(list)
+    for r in rows:
+        topics[r["topic"]].append(r)
+    people = lambda own: len({r["participant_id"] for r in own if r["quote"].strip()})
+    seen, out = set(), []
+    for name, own in sorted(topics.items(), key=lambda x: (-people(x[1]), x[0])):
+        number = collections.Counter(r["opinion"] for r in own)
+        opinions = sorted(number, key=lambda o: (o == "Other", -number[o], min(r["ord"] for r in own if r["opinion"] == o)))
+        picked = []
+        for _ in range(k):
+            for o in opinions:
+                possible = sorted((r for r in own if r["opinion"] == o), key=lambda r: (-r["score"], r["ord"]))
+                here = {r["participant_id"] for r in picked}
+                for allowed in (lambda r: r["participant_id"] not in seen | here, lambda r: r["participant_id"] not in here, lambda r: r["ord"] not in {x["ord"] for x in picked}):
+                    found = next(filter(allowed, possible), None)
+                    if found:
+                        picked.append(found)
+                        seen.add(found["participant_id"])
+                        break
+        out += [(name, r["opinion"], r["participant_id"], r["quote"], i) for i, r in enumerate(picked, 1)]
+    return out
+
+
+def test_topic_samples_as_brute_force(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [{"ord": i, "topic": rng.choice("xyz"), "opinion": rng.choice(["a", "b", "c", "Other"]), "participant_id": rng.choice([1, 2, 3, i % 9, i]), "quote": f"q{i}", "score": rng.randint(0, 9) / 10} for i in range(400)]
+    rows += [{"ord": 1_000 + i, "topic": "hot", "opinion": "one", "participant_id": 1, "quote": f"h{i}", "score": 1.0} for i in range(80)]
+    df = spark.createDataFrame(rows, "ord bigint, topic string, opinion string, participant_id bigint, quote string, score double")
+    for k in (1, 4):
+        got = [tuple(r) for r in report.topic_samples(df.drop("score").join(df.select("ord", F.col("score").alias("bridging")), "ord"), k, F.col("bridging")).collect()]
+        assert got == brute_force_samples(rows, k)
 
 
 def test_summaries(spark):
