@@ -123,11 +123,15 @@ def sheet_join(r1: DataFrame, r2: DataFrame, key: str = "participant_id") -> Dat
 
 def reconstituted_pool(by_opinion: DataFrame) -> DataFrame:
     """Participants out of the nested rounds of all opinions, each once, with where they were found."""
-    r1 = by_opinion.select(F.explode("r1_df").alias("p")).select("p.*").dropDuplicates(["participant_id"])
-    r2 = by_opinion.select(F.explode("r2_df").alias("p")).select("p.*").dropDuplicates(["participant_id"])
-    from .basics import full_outer
+    from .basics import first_per, full_outer
+
+    def people(column: str) -> DataFrame:
+        """The first row of each participant, opinions in order of their names, then rows as they stand."""
+        keys = [c for c in ("topic", "opinion") if c in by_opinion.columns]
+        rows = by_opinion.select(F.struct(*keys).alias("_k") if keys else F.lit(0).alias("_k"), F.posexplode(column).alias("_p", "p"))
+        return first_per(rows.select("_k", "_p", "p.*"), ["participant_id"], ["_k", "_p"]).drop("_k", "_p")
 
-    return full_outer(r1, r2, "participant_id", ("_r1", "_r2"), "_merge")
+    return full_outer(people("r1_df"), people("r2_df"), "participant_id", ("_r1", "_r2"), "_merge")
 
 
 def round_overlap(r1: DataFrame, r2: DataFrame) -> DataFrame:

@@ -26,16 +26,19 @@ def deduplicated_names(names: Sequence[str]) -> list[str]:
 
 
 def _raw(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text under their own names, header included as the first row; ``ord`` is the row's place."""
+    """All columns as text under their own names, header included as the first row of each file; ``ord`` is the row's place over
+    all files, ``line`` its place in its file."""
     options = CSV | {"header": False}
     # A file of many lines a record can't be split, so ids follow the file's order.
-    return spark.read.options(**options).csv(path).withColumn("ord", F.monotonically_increasing_id())
+    rows = spark.read.options(**options).csv(path).select("*", F.monotonically_increasing_id().alias("ord"), F.col("_metadata.file_path").alias("_file"))
+    first = rows.groupBy("_file").agg(F.min("ord").alias("_first"))  # one row a file
+    return rows.join(first, "_file").withColumn("line", F.col("ord") - F.col("_first")).drop("_file", "_first")
 
 
 def header(spark: SparkSession, path: str) -> list[str]:
-    """Column names alone."""
-    first = _raw(spark, path).orderBy("ord").first()
-    return [] if first is None else deduplicated_names([x or f"_c{i}" for i, x in enumerate(first[:-1])])
+    """Column names alone (S05), of the first file."""
+    first = spark.read.options(**(CSV | {"header": False})).csv(path).limit(1).first()
+    return [] if first is None else deduplicated_names([x or f"_c{i}" for i, x in enumerate(first)])
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, infer: bool = False) -> DataFrame:
@@ -50,7 +53,7 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """All-text scan with lower-cased headers and the rows' order."""
     names = [n.lower() for n in header(spark, path)]
-    return _raw(spark, path).where(F.col("ord") > 0).toDF(*deduplicated_names(names), "ord")
+    return _raw(spark, path).where(F.col("line") > 0).drop("line").toDF(*deduplicated_names(names), "ord")
 
 
 def read_export(spark: SparkSession, path: str, keep: Sequence[str] | None = None) -> tuple[DataFrame, dict[str, str]]:
@@ -59,9 +62,9 @@ def read_export(spark: SparkSession, path: str, keep: Sequence[str] | None = Non
     Returns the answers (with ``ord``) and the question text of each column.
     """
     names = header(spark, path)
-    rows = _raw(spark, path).toDF(*names, "ord")
-    texts = rows.where("ord = 1").drop("ord").first()
-    answers = rows.where("ord >= 3").withColumn("ord", F.col("ord") - 3)
+    rows = _raw(spark, path).toDF(*names, "ord", "line")
+    texts = rows.where("line = 1").orderBy("ord").limit(1).first()
+    answers = rows.where("line >= 3").withColumn("ord", F.col("ord") - 3)
     chosen = [n for n in names if keep is None or n in keep]
     return answers.select(*(f"`{c}`" for c in chosen), "ord"), {c: (texts[c] or "") if texts else "" for c in chosen}
 
