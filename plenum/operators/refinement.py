@@ -90,7 +90,7 @@ def judged_topics(infer: Inference, sets: DataFrame, propositions: DataFrame) ->
     replies = infer(prompts.winning_topic(sets, propositions), "winning topic").select("set_id", F.trim("response").alias("reply"))
     rows = dedup.members(sets).join(propositions, "proposition_id").join(replies, "set_id", "left")
     named = F.max(F.when(F.contains("reply", F.col("topic")), F.col("topic")))
-    return rows.groupBy("set_id").agg(F.coalesce(named, F.min_by("topic", "rank")).alias("winner"))
+    return rows.groupBy("set_id").agg(F.coalesce(named, F.min_by("topic", F.struct("rank", "topic"))).alias("winner"))
 
 
 def refine(run: Run, infer: Inference, opinions: DataFrame, people: DataFrame, real_ballots: DataFrame | None = None, k: int = 3, top: int = 10, pav: bool = True, method: str = "rank_filling") -> DataFrame:

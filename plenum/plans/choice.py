@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ballots as B
 from ..operators import dedup, social_choice, world
-from .registry import ORACLES, VIEWS, pb, pb25, pv, pvs, pw, query
+from .registry import VIEWS, pb, pb25, pv, pvs, pw, query
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -95,7 +95,26 @@ def g02_strongest_paths(spark, d):
     return rows.select(F.get("candidates", F.col("i")).alias("winner"), F.get("candidates", F.col("j")).alias("loser"), F.col("strength").cast("bigint").alias("strength"))
 
 
-@query()
+VIEWS["pbt"] = """pbt AS (SELECT c_mktsegment AS topic, o_custkey AS ballot, o_orderpriority AS candidate, row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, o_orderpriority) AS pos
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment, o_custkey, o_orderpriority)"""
+
+
+@query(
+    """+pairs AS (SELECT a.topic, a.candidate AS winner, b.candidate AS loser, count(*) AS n FROM pbt a JOIN pbt b ON a.ballot = b.ballot AND a.pos < b.pos GROUP BY ALL),
+c AS (SELECT topic, candidate, row_number() OVER (PARTITION BY topic ORDER BY candidate) AS i, count(*) OVER (PARTITION BY topic) AS k FROM (SELECT DISTINCT topic, candidate FROM pbt)),
+m AS (SELECT a.topic, a.k AS size, a.i AS i, b.i AS j, CAST(coalesce(x.n, 0) - coalesce(y.n, 0) AS BIGINT) AS p FROM c a JOIN c b ON a.topic = b.topic
+    LEFT JOIN pairs x ON x.topic = a.topic AND x.winner = a.candidate AND x.loser = b.candidate LEFT JOIN pairs y ON y.topic = a.topic AND y.winner = b.candidate AND y.loser = a.candidate),
+walk(k, topic, size, i, j, p) AS (SELECT 0, topic, size, i, j, p FROM m UNION ALL
+    SELECT w.k + 1, w.topic, w.size, w.i, w.j, CASE WHEN w.i = w.j OR w.i = w.k + 1 OR w.j = w.k + 1 THEN w.p ELSE greatest(w.p, least(x.p, y.p)) END
+    FROM walk w JOIN walk x ON x.topic = w.topic AND x.i = w.i AND x.j = w.k + 1 JOIN walk y ON y.topic = w.topic AND y.i = w.k + 1 AND y.j = w.j WHERE w.k < w.size),
+paths AS (SELECT topic, i, j, p FROM walk WHERE k = size),
+wins AS (SELECT x.topic, x.i, count(*) FILTER (x.p > y.p) AS wins, count(*) FILTER (x.p < y.p) AS losses FROM paths x JOIN paths y ON x.topic = y.topic AND x.i = y.j AND x.j = y.i AND x.i <> x.j GROUP BY ALL),
+ranked AS (SELECT topic, candidate, i, wins, losses, row_number() OVER (PARTITION BY topic ORDER BY wins DESC, candidate DESC) AS rank FROM wins JOIN c USING (topic, i)),
+nexts AS (SELECT *, lead(i) OVER (PARTITION BY topic ORDER BY rank) AS nx FROM ranked)
+SELECT nexts.topic, candidate, wins, losses, rank, p AS strength FROM nexts LEFT JOIN paths ON nexts.topic = paths.topic AND nexts.i = paths.i AND nexts.nx = paths.j""",
+    "pbt",
+    recursive=True,
+)
 def g05_schulze_by_topic(spark, d):
     from ..session import table
 
@@ -208,17 +227,46 @@ def q09_all_by_topic(spark, d):
     return _shown(world.all_by_topic(*_world(spark, d, "topic")))
 
 
-@query("SELECT topic, proposition, p AS rank, s AS schulze_rank, p AS pav_rank, approval_rate FROM pos JOIN rate USING (proposition) WHERE p <= 3", "sp")
-def q01_selected_by_opinion(spark, d):
-    return _shown(world.selected_by_opinion(*_world(spark, d, "opinion"), 3))
+VIEWS["so"] = """sego AS (SELECT c_mktsegment AS topic, l_linestatus AS opinion, o_custkey AS participant_id, p_brand AS proposition, l_quantity, l_returnflag <> 'R' AS approved
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey),
+    poso AS (SELECT topic, opinion, proposition, row_number() OVER (PARTITION BY topic, opinion ORDER BY sum(l_quantity) DESC, proposition) AS s,
+        row_number() OVER (PARTITION BY topic, opinion ORDER BY count(*) DESC, proposition) AS p FROM sego GROUP BY topic, opinion, proposition),
+    meano AS (SELECT participant_id, proposition, avg(CASE WHEN approved THEN 1.0 ELSE 0.0 END) AS a FROM sego GROUP BY ALL),
+    rateo AS (SELECT proposition, round(sum(a) / (SELECT count(DISTINCT participant_id) FROM meano), 6) AS approval_rate FROM meano GROUP BY proposition)"""
 
+#: Opinions that have no approval ranking: their first rank is the Schulze rank.
+BY_OPINION = """SELECT topic, opinion, proposition, CASE WHEN opinion < 'M' THEN p ELSE s END AS rank, s AS schulze_rank, CASE WHEN opinion < 'M' THEN p END AS pav_rank, approval_rate
+FROM poso JOIN rateo USING (proposition)"""
 
-ORACLES["q08_all_by_opinion"] = ORACLES["q09_all_by_topic"]
 
+def _by_opinion(spark, d):
+    """As ``_world``, by topic and opinion (the line status); only some opinions have an approval ranking."""
+    from ..session import table
+    from .registry import _sales
 
-@query()
+    lines = _sales(spark, d, "l_linestatus").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    seg = lines.select(F.col("c_mktsegment").alias("topic"), F.col("l_linestatus").alias("opinion"), F.col("o_custkey").alias("participant_id"), F.col("p_brand").alias("proposition"), "l_quantity", (F.col("l_returnflag") != "R").alias("approved"))
+    sums = seg.groupBy("topic", "opinion", "proposition").agg((-F.sum("l_quantity")).alias("q"), (-F.count("*")).alias("c"))
+    listed = lambda by: F.transform(F.array_sort(F.collect_list(F.struct(by, "proposition"))), lambda x: x["proposition"])
+    both = sums.groupBy("topic", "opinion").agg(listed("q").alias("schulze"), listed("c").alias("pav"))
+    methods = F.filter(F.array(*(F.struct(F.lit(m).alias("method"), F.col(m).alias("ranking")) for m in ("schulze", "pav"))), lambda x: (x["method"] == "schulze") | (F.col("opinion") < "M"))
+    rankings = both.select(F.lit("opinion").alias("level"), "topic", "opinion", F.inline(methods))
+    propositions = sums.select(F.lit("opinion").alias("level"), "topic", "opinion", F.lit(0).alias("idx"), "proposition", F.lit(False).alias("selected"))
+    return propositions, rankings, seg.select("participant_id", "proposition", "approved")
+
+
+def _shown_by_opinion(df):
+    return df.select("topic", "opinion", "proposition", "rank", "schulze_rank", "pav_rank", F.round("approval_rate", 6).alias("approval_rate"))
+
+
+@query(f"SELECT * FROM ({BY_OPINION}) WHERE rank <= 3", "so")
+def q01_selected_by_opinion(spark, d):
+    return _shown_by_opinion(world.selected_by_opinion(*_by_opinion(spark, d), 3))
+
+
+@query(BY_OPINION, "so")
 def q08_all_by_opinion(spark, d):
-    return _shown(world.selected_by_opinion(*_world(spark, d, "opinion")))
+    return _shown_by_opinion(world.selected_by_opinion(*_by_opinion(spark, d)))
 
 
 @query("SELECT 'Nuanced' AS topic, proposition, p AS rank, s AS schulze_rank, p AS pav_rank, approval_rate FROM pos JOIN rate USING (proposition) WHERE p <= 10 AND p <= 4", "sp")
