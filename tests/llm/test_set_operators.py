@@ -267,3 +267,24 @@ def test_stages_keep_the_columns(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns, name
     assert decontam.find_leaks(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).columns == ["doc_id", "item_id", "coverage", "run"]
+
+
+def test_stages_over_odd_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    some = docs.limit(12).collect()
+    texts = [r["text"] for r in some]
+    extra = [(900_001, None), (900_002, ""), (900_003, " \n"), (900_004, texts[0]), (900_004, texts[0]), (900_004, "other words entirely, of one more short text"), (None, texts[1]), (900_005, "long words " * 30_000)]
+    rows = [(r["doc_id"], r["text"]) for r in some] + extra
+    odd = spark.createDataFrame(rows, DOC).select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("bigint").alias("n_chars"))
+    odd = odd.withColumn("score", F.lit(1)).withColumn("base", F.lit("own")).withColumn("d1", F.lit(2)).withColumn("row", F.array(F.lit(3)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, SF)
+        kept = [(r["doc_id"], r["text"]) for r in out.collect()]
+        assert out.columns == odd.columns and {i for i, _ in kept} <= {i for i, _ in rows}, name
+        assert stage(spark, odd.limit(0), SF).count() == 0, name
+        if name == "n-gram Jaccard join":
+            assert sorted(kept, key=str) == sorted({x for x in rows if x != (900_004, texts[0])}, key=str)
+        if name == "secret scans":
+            assert len(kept) == len(rows)
+    coded = corpus_pipeline.STAGES[-1][1](spark, odd, SF).collect()
+    assert len(coded) == len(rows) and all(r["round_trip"] for r in coded)
