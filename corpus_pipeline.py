@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet to the shared folder
 and reads it again as the next stage's documents.
+
+Defined cases, in all stages: null and empty texts are scored, joined and scanned as empty ones (near copies of nothing, so each
+stays by the join); rows that repeat a doc_id are judged by their own text, and of rows of equal id and set of shingles one stays;
+a null doc_id stays in the join; further columns go through every stage but the last, whatever their names; texts of any length
+are taken whole; empty tables give empty results.
 """
 
 from __future__ import annotations
