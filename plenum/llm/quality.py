@@ -4,9 +4,9 @@ Features of a text: each of its words (split at white space), the character n-gr
 and each pair of neighbouring words (a word after itself counts as one same pair, whatever the word).  Each feature is
 hashed to a bucket; a bucket has a learned vector; a document is the mean of its features' vectors.
 
-Training happens on the driver on a bounded sample: at most ``max_rows`` labelled rows, chosen by a hash of their id.
-Executors count the features of their texts, so that no text goes to the driver; counts are taken in the order of the hash
-as long as they fit in ``max_features`` (distinct buckets of a text, 4 bytes each).  A row that doesn't fit is left out and the next one is looked at, so
+Training happens in one task on a bounded sample: at most ``max_rows`` labelled rows, chosen by a hash of their id.
+Executors count the features of their texts, so that neither texts nor counts go to the driver; counts are taken in the order
+of the hash as long as they fit in ``max_features`` (distinct buckets of a text, 4 bytes each).  A row that doesn't fit is left out and the next one is looked at, so
 one long text costs itself alone.  Texts are never cut.  The sample, its order and the start values are fixed, so the same
 tables give the same model.
 
@@ -222,29 +222,46 @@ def _counter(bits: int):
     return run
 
 
-def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> Iterator[tuple[np.ndarray, int]]:
-    """(packed features, label) of the training sample, in order."""
+def sample_table(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> DataFrame:
+    """(label, packed) of the training sample, in order, as one partition of at most ``max_rows`` rows and 4 * ``max_features`` bytes.
+
+    The driver sees the sizes of the features only.
+    """
     small_batches(docs.sparkSession, 200)
     rows = written(training_rows(docs, labels, label_col, max_rows).mapInArrow(_counter(BITS), "o bigint, label int, h bigint, size bigint, packed binary"))
     names, left = [], max_features
     for r in rows.select("o", "label", "h", "size").orderBy("o", "label", "h").limit(max_rows).collect():
         if r["size"] <= left:
             left -= r["size"]
-            names.append((r["o"], r["label"], r["h"], r["size"]))
-    # One array holds all of the sample: a row's features are copied to its place as they come.
-    ends = np.cumsum([0, *(n for *_, n in names)])
-    place = {name[:3]: k for k, name in enumerate(names)}
-    every = np.empty(int(ends[-1]), np.uint32)
-    for r in rows.toLocalIterator(prefetchPartitions=False):
-        k = place.get((r["o"], r["label"], r["h"]))
-        if k is not None:
-            every[ends[k] : ends[k + 1]] = np.frombuffer(r["packed"], np.uint32)
-    for k, (_, label, *_) in enumerate(names):
-        yield every[ends[k] : ends[k + 1]], label
+            names.append((r["o"], r["label"], r["h"]))
+    chosen = docs.sparkSession.createDataFrame(names, "o bigint, label int, h bigint")
+    return rows.join(F.broadcast(chosen), ["o", "label", "h"], "left_semi").coalesce(1).sortWithinPartitions("o", "label", "h").select("label", "packed")
+
+
+def sample(*args, **kwargs) -> Iterator[tuple[np.ndarray, int]]:
+    """(packed features, label) of ``sample_table``."""
+    for r in sample_table(*args, **kwargs).toLocalIterator():
+        yield np.frombuffer(r["packed"], np.uint32), r["label"]
+
+
+_MODEL = "vectors binary, output binary, bias binary, share double"
+
+
+def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = ((np.frombuffer(x.as_py(), np.uint32), y.as_py()) for batch in batches for x, y in zip(batch.column("packed"), batch.column("label")))
+    model = fit(rows)
+    arrays = [pa.array([x.tobytes()], pa.binary()) for x in (model.vectors, model.output, model.bias)]
+    yield pa.RecordBatch.from_arrays([*arrays, pa.array([model.share], pa.float64())], names=["vectors", "output", "bias", "share"])
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> QualityModel:
-    return fit(sample(docs, labels, label_col, max_rows, max_features))
+    """The model, fitted within one task; only its vectors come to the driver."""
+    found = sample_table(docs, labels, label_col, max_rows, max_features).mapInArrow(_fit_task, _MODEL).collect()
+    if not found:
+        return fit(iter(()))
+    r = found[0]
+    vectors, output, bias = (np.frombuffer(r[c], np.float32) for c in ("vectors", "output", "bias"))
+    return QualityModel(vectors.reshape(-1, DIM), output.reshape(DIM, 2), bias, BITS, r["share"])
 
 
 def logits(texts: list[str], add: np.ndarray, bias: float, bits: int = BITS) -> np.ndarray:
