@@ -123,6 +123,66 @@ def test_similar_sets_as_brute_force(spark):
     assert got == {i: m for i, m in want.items() if len(m) > 1} and max(map(len, got.values())) >= 120
 
 
+def test_overlaps_as_brute_force():
+    import random
+
+    import numpy as np
+
+    from plenum.operators import similar
+
+    rng = random.Random(5)
+    # Half of each list is from few values, which are counted by products, half from many, which are counted by lists.
+    lists = [np.array(sorted({rng.randrange(40) for _ in range(rng.randint(0, 30))} | {rng.randrange(100, 9000) for _ in range(rng.randint(0, 90))}), np.int64) for _ in range(90)]
+    left, right = np.arange(0, 50), np.arange(30, 90)
+    want = [[len(set(lists[a]) & set(lists[b])) for b in right] for a in left]
+    assert similar.overlaps(lists, left, right).tolist() == want
+    assert similar.overlaps(lists, left, right[:0]).shape == (50, 0)
+
+
+def test_similar_sets_in_blocks(spark, monkeypatch):
+    """A family of near copies whose group is split, met by several n-grams, with copies of some and one frequent passage."""
+    import random
+
+    from plenum.operators import similar
+
+    monkeypatch.setattr(similar, "BLOCK_CLASSES", 7)
+    monkeypatch.setattr(similar, "FREQUENT", 3)
+    monkeypatch.setattr(similar, "HOT", 1)
+    rng = random.Random(7)
+    base, passage = [f"b{i}" for i in range(60)], [f"p{i}" for i in range(12)]
+    rows = []
+    for i in range(150):
+        w = base[:]
+        for _ in range(i % 3):
+            w[rng.randrange(60)] = f"x{i}"
+        rows.append((f"n:{i:03}", " ".join(w)))
+    rows += [(f"p:{i:03}", " ".join([f"y{i}-{k}" for k in range(30)] + passage)) for i in range(40)] + [("", "..."), ("z", "")]
+
+    def grams(t):
+        w = "".join(c if c.isalnum() else " " for c in t.lower()).split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    for least in (0.75, 0.55):
+        sets = {i: grams(t) for i, t in rows}
+        first = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}
+        like = lambda a, b: bool(sets[a]) and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= least
+        want = {i: sorted(j for j in sets if like(i, j) and first[j] >= i) for i in sets if sets[i] and first[i] == i}
+        got = {r["set_id"]: r["members"] for r in dedup.similar_sets(spark.createDataFrame(rows, "proposition_id string, proposition string"), least).collect()}
+        assert got == {i: m for i, m in want.items() if len(m) > 1} and len(got) > 40
+
+
+def test_similar_sets_of_long_texts(spark):
+    """Texts are split in words once, not once for each of their n-grams."""
+    import time
+
+    words = [f"word{i}" for i in range(40_000)]
+    rows = [("0:0", " ".join(words)), ("0:1", " ".join(["other", *words[1:]])), ("0:2", " ".join(words[:20_000])), ("0:3", " ".join(reversed(words)))]
+    began = time.monotonic()
+    got = dedup.similar_sets(spark.createDataFrame(rows, "proposition_id string, proposition string")).collect()
+    assert [(r["set_id"], r["members"]) for r in got] == [("0:0", ["0:0", "0:1"])]
+    assert time.monotonic() - began < 60
+
+
 def test_topic_tree_text(spark):
     rows = [(1, "Topic 1", "Opinion 1.1", "Quote 1.1", 0), (1, "Topic 1", "Opinion 1.2", "Quote 1.1", 1), (2, "Topic 1", "Opinion 1.2", "Quote 1.2", 2), (3, "Other", "x", "q", 3)]
     df = spark.createDataFrame(rows, "participant_id bigint, topic string, opinion string, quote string, ord bigint")
