@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialised as written
-from ..session import table
+from ..session import small_batches, table
 from ..session import work_dir as shared_dir
 
 __all__ = ["LOWER", "UPPER", "ascii_lower", "shared_dir", "shuffle_width", "small_batches", "small_table", "table", "text_or_empty", "written"]
@@ -26,13 +26,6 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
-    """Fewer rows an Arrow batch from now on: ten thousand texts, held by the JVM and by Python, are too many."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
-
-
 def small_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A table of a few rows as literals of the plan, so that no Python worker makes it."""
     fields = T.StructType.fromDDL(schema).fields

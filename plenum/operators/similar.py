@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import shingle_sets
-from ..session import materialised
+from ..session import materialised, small_batches
 
 #: N-grams that a map task packs at a time; propositions a bucket, for the number of buckets.
 PORTION, ROWS_A_BUCKET = 600_000, 4_000
@@ -263,6 +263,7 @@ def similar_sets(propositions: DataFrame, least: float = 0.75, words: int = 5) -
     The model's place-holder for tests and first drafts.  A set is a proposition, the least of its class, with the other ones
     of its class and with the greater classes linked to it: set_id, members.
     """
+    small_batches(propositions.sparkSession)
     texts = propositions.select("proposition_id", F.regexp_replace(F.lower("proposition"), r"[^\p{L}\p{N}]+", " ").alias("words"))
     bits = max(2, min(16, (propositions.count() // ROWS_A_BUCKET).bit_length()))
     packed = texts.mapInArrow(_pack(words, bits), "key bigint, portion bigint, ids array<string>, info binary, docs binary, prints binary")
